@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, media, mixing, quality_rules, secret_scan, token_binary
+from lexspark.llm import bpe, chat, jaccard_join, media, mixing, quality_rules, secret_scan, token_binary
 
 
 def _path(name: str) -> str:
@@ -35,6 +35,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(text(F.filter("found", lambda s: s["ord"] < base)), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_groups(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _path("byte_bpe_50k.tiktoken"))
 
@@ -55,5 +59,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chat(chat.format_chat(turns.unionByName(extra)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_binary, op3_secret_scan, op5_byte_bpe, op6_media, op7_mixing, op9_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_binary, op3_secret_scan, op4_ngram_jaccard_join, op5_byte_bpe, op6_media, op7_mixing, op9_chat_format)}
 ORACLE_SQL: dict[str, str] = {}
