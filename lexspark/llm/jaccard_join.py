@@ -18,11 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.llm.blocks import by_partition, pack, rows_of, unpack
 from lexspark.llm.common import LOWER, U64, input_partitions, mixed, span_hashes, staged, text_chunks, word_spans
 
 WORDS = 4
@@ -66,33 +66,6 @@ def digests(sets: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return one.view(np.int64), two.view(np.int64)
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    head = np.array([a.nbytes for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
-
-
-def _unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
-    body = zstandard.ZstdDecompressor().decompress(raw, max_output_size=1 << 31)
-    sizes = np.frombuffer(body, "<i8", len(kinds))
-    out, at = [], 8 * len(kinds)
-    for size, kind in zip(sizes.tolist(), kinds):
-        out.append(np.frombuffer(body, kind, size // np.dtype(kind).itemsize, at))
-        at += size
-    return out
-
-
-def _by_partition(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of keys sorted by partition and key; cuts between partitions."""
-    part = (keys % U64(n)).astype(np.int64)
-    order = np.lexsort((keys, part))
-    return order, np.searchsorted(part[order], np.arange(n + 1)), part
-
-
-def _rows(schema: list[tuple[str, pa.DataType]], **columns) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in schema], names=[k for k, _ in schema])
-
-
 _I, _B = pa.int64(), pa.binary()
 _SETS = [("kind", pa.int32()), ("part", pa.int32()), ("unit", _I), ("slot", _I), ("doc_id", _I), ("text_hash", _I), ("n", _I), ("k1", _I), ("k2", _I), ("payload", _B)]
 _SETS_SQL = "kind int, part int, unit long, slot long, doc_id long, text_hash long, n long, k1 long, k2 long, payload binary"
@@ -109,15 +82,15 @@ def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
             sets, cuts = shingles(buf, offs, words)
             one, two = digests(sets, cuts)
             m = rows.num_rows
-            yield _rows(_SETS, kind=[DOC] * m, part=np.arange(m) % n_parts, unit=[unit] * m, slot=np.arange(m), doc_id=rows.column(0), text_hash=rows.column(1), n=np.diff(cuts), k1=one, k2=two)
-            order, at, _ = _by_partition(sets, n_parts)
+            yield rows_of(_SETS, kind=[DOC] * m, part=np.arange(m) % n_parts, unit=[unit] * m, slot=np.arange(m), doc_id=rows.column(0), text_hash=rows.column(1), n=np.diff(cuts), k1=one, k2=two)
+            order, at, _ = by_partition(sets, n_parts)
             short = (sets[order] >> U64(32)).astype("<u4")
             doc = np.repeat(np.arange(m, dtype="<u4"), np.diff(cuts))[order]
             if m <= 0x10000:
                 doc = doc.astype("<u2")
             full = np.flatnonzero(np.diff(at)).tolist()
-            blocks = [_pack(np.diff(short[at[p] : at[p + 1]], prepend=np.uint32(0)), doc[at[p] : at[p + 1]]) for p in full]
-            yield _rows(_SETS, kind=[BLOCK] * len(full), part=full, unit=[unit] * len(full), n=[doc.itemsize] * len(full), payload=blocks)
+            blocks = [pack(np.diff(short[at[p] : at[p + 1]], prepend=np.uint32(0)), doc[at[p] : at[p + 1]]) for p in full]
+            yield rows_of(_SETS, kind=[BLOCK] * len(full), part=full, unit=[unit] * len(full), n=[doc.itemsize] * len(full), payload=blocks)
             unit += 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +100,7 @@ def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
             if not is_block.all():
                 yield batch.filter(pa.array(~is_block))
             for unit, width, raw in zip(*(batch.filter(pa.array(is_block)).column(i).to_pylist() for i in (2, 6, 9))):
-                gaps, doc = _unpack(raw, "<u4", f"<u{width}")
+                gaps, doc = unpack(raw, "<u4", f"<u{width}")
                 units.append(unit)
                 shorts.append(np.cumsum(gaps, dtype=np.uint32))
                 docs_of.append(doc.astype(np.uint32))
@@ -142,7 +115,7 @@ def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
         shared[order[:-1][same]] = True
         ends = np.cumsum(sizes)
         out = [np.bincount(doc[shared[end - size : end]]).astype("<u4") for doc, end, size in zip(docs_of, ends.tolist(), sizes.tolist())]
-        yield _rows(_SETS, kind=[COUNTS] * len(units), part=[0] * len(units), unit=units, payload=[_pack(c) for c in out])
+        yield rows_of(_SETS, kind=[COUNTS] * len(units), part=[0] * len(units), unit=units, payload=[pack(c) for c in out])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     return staged(rows.mapInArrow(send, _SETS_SQL).repartitionById(n_parts, "part").mapInArrow(count, _SETS_SQL), "jaccard-sets")
@@ -155,7 +128,7 @@ def _shared(sets: DataFrame) -> DataFrame:
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
             for unit, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (more,) = _unpack(raw, "<u4")
+                (more,) = unpack(raw, "<u4")
                 have = kept.get(unit, np.zeros(0, np.int64))
                 total = np.zeros(max(len(have), len(more)), np.int64)
                 total[: len(have)] = have
@@ -187,7 +160,7 @@ def _candidate_units(docs: DataFrame, wanted: DataFrame, words: int) -> DataFram
         unit = TaskContext.get().partitionId() << 20
         for rows, buf, offs in text_chunks(batches):
             sets, cuts = shingles(buf, offs, words)
-            yield _rows(_UNITS, kind=[NODE], part=[-1], unit=[unit], payload=[_pack(np.asarray(rows.column(0), "<i8"), cuts.astype("<i8"), sets.astype("<u8"))])
+            yield rows_of(_UNITS, kind=[NODE], part=[-1], unit=[unit], payload=[pack(np.asarray(rows.column(0), "<i8"), cuts.astype("<i8"), sets.astype("<u8"))])
             unit += 1
 
     return staged(own.mapInArrow(gather, _UNITS_SQL), "jaccard-units")
@@ -205,17 +178,17 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, raw in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                nodes, cuts, sets = _unpack(raw, "<i8", "<i8", "<u8")
-                order, at, _ = _by_partition(sets, n_parts)
+                nodes, cuts, sets = unpack(raw, "<i8", "<i8", "<u8")
+                order, at, _ = by_partition(sets, n_parts)
                 owner = np.repeat(nodes, np.diff(cuts))[order]
                 full = np.flatnonzero(np.diff(at)).tolist()
-                yield _rows(_UNITS, kind=[ENTRY] * len(full), part=full, unit=[unit] * len(full), payload=[_pack(sets[order][at[p] : at[p + 1]], owner[at[p] : at[p + 1]]) for p in full])
+                yield rows_of(_UNITS, kind=[ENTRY] * len(full), part=full, unit=[unit] * len(full), payload=[pack(sets[order][at[p] : at[p + 1]], owner[at[p] : at[p + 1]]) for p in full])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads, keys, owners = [], [], []
         for batch in batches:
             for part, unit, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                own, who = _unpack(raw, "<u8", "<i8")
+                own, who = unpack(raw, "<u8", "<i8")
                 heads.append((part, unit))
                 keys.append(own)
                 owners.append(who)
@@ -232,7 +205,7 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
         df = np.empty(len(k), "<u4")
         df[order] = np.bincount(group, new_pair)[group].astype("<u4")
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).tolist()
-        yield _rows(_UNITS, kind=[ENTRY] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[_pack(df[a:b]) for a, b in zip(at, at[1:])])
+        yield rows_of(_UNITS, kind=[ENTRY] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(df[a:b]) for a, b in zip(at, at[1:])])
 
     def order_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list = []
@@ -258,21 +231,21 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
                     again = np.lexsort((chosen, of))
                     lists.append((chosen[again], np.searchsorted(of[again], np.arange(len(nodes) + 1))))
             kept, kept_at = sets[shared], np.searchsorted(doc[shared], np.arange(len(nodes) + 1))
-            payload = [_pack(kept[kept_at[i] : kept_at[i + 1]], *(t[a[i] : a[i + 1]] for t, a in lists)) for i in range(len(nodes))]
-            yield _rows(_NODES, kind=[NODE] * len(nodes), node=nodes, n=n, payload=payload)
+            payload = [pack(kept[kept_at[i] : kept_at[i + 1]], *(t[a[i] : a[i + 1]] for t, a in lists)) for i in range(len(nodes))]
+            yield rows_of(_NODES, kind=[NODE] * len(nodes), node=nodes, n=n, payload=payload)
             token, of, pos = entry
-            yield _rows(_NODES, kind=[ENTRY] * len(token), token=token.view(np.int64), node=nodes[of], n=n[of], pos=pos, rare=rare[of])
+            yield rows_of(_NODES, kind=[ENTRY] * len(token), token=token.view(np.int64), node=nodes[of], n=n[of], pos=pos, rare=rare[of])
 
         for batch in batches:
             for part, unit, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 if part < 0:
                     if own:
                         yield from done()
-                    nodes, cuts, sets = _unpack(raw, "<i8", "<i8", "<u8")
-                    order, at, _ = _by_partition(sets, n_parts)
+                    nodes, cuts, sets = unpack(raw, "<i8", "<i8", "<u8")
+                    order, at, _ = by_partition(sets, n_parts)
                     own = [nodes, cuts, sets, np.ones(len(sets), np.int64), order, at]
                 else:
-                    own[3][own[5][part] : own[5][part + 1]] = _unpack(raw, "<u4")[0]
+                    own[3][own[5][part] : own[5][part + 1]] = unpack(raw, "<u4")[0]
         if own:
             yield from done()
 
@@ -369,7 +342,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int, share: int = 256
         for batch in batches:
             out: list[tuple[int, int]] = []
             for a, b, n, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
-                sets = _unpack(raw, *["<u8"] * ORDERS)
+                sets = unpack(raw, *["<u8"] * ORDERS)
                 if b is None:
                     own, n_own = sets, n
                     continue
