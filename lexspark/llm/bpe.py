@@ -14,16 +14,17 @@ import base64
 import hashlib
 import heapq
 import unicodedata
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import text_chunks
+from lexspark.llm.common import ALL_BYTES, U64, span_hashes, text_chunks
 
 # Classes of code points.
 LETTER, NUMBER, OTHER, BLANK, WHITE = range(5)
@@ -78,10 +79,15 @@ class Automaton:
                     functions[fg] = len(functions)
                     members.append(fg)
         table = np.array(members, np.uint8)
-        self.of_symbol = np.array([functions[f] for f in letters], np.uint16)
+        self.of_symbol = np.array([functions[f] for f in letters], np.int32)
         self.first = table[:, CLOSED]
         self.size = len(members)
-        self.then = np.array([[functions[tuple(int(s) for s in g[list(f)])] for g in table] for f in members], np.uint16)
+        # Flat tables, so that a step is one lookup: by function and symbol, by two functions, by state and symbol.
+        then = np.array([[functions[tuple(int(s) for s in g[list(f)])] for g in table] for f in members], np.int32)
+        self.then = then.reshape(-1)
+        self.then_symbol = np.ascontiguousarray(then[:, self.of_symbol]).reshape(-1)
+        self.moves = (self.to.astype(np.int32) * 2 * N_SYMBOLS).reshape(-1)
+        self.begins = self.begins.reshape(-1)
 
 
 @lru_cache(1)
@@ -102,7 +108,7 @@ def class_table() -> np.ndarray:
 def symbols(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Symbols of code points; first: where texts begin."""
     n = len(points)
-    kind = class_table()[points]
+    kind = class_table().take(points)
     white = kind >= BLANK
     starts = np.zeros(n + 1, bool)
     starts[first] = True
@@ -134,26 +140,28 @@ def piece_starts(points: np.ndarray, first: np.ndarray, block: int = 64) -> np.n
     auto = automaton()
     sym = symbols(points, first)
     blocks = -(-n // block)
-    grid = np.full(blocks * block, S_LETTER, np.uint8)
+    grid = np.full(blocks * block, S_LETTER, np.int32)
     grid[:n] = sym
     grid = np.ascontiguousarray(grid.reshape(blocks, block).T)
     composed = auto.of_symbol[grid[0]]
     for j in range(1, block):
-        composed = auto.then[composed, auto.of_symbol[grid[j]]]
+        composed = auto.then_symbol.take(composed * (2 * N_SYMBOLS) + grid[j])
     reach = 1
     while reach < blocks:  # prefix composition by doubling
         nearer = composed.copy()
-        nearer[reach:] = auto.then[composed[:-reach], composed[reach:]]
+        nearer[reach:] = auto.then.take(composed[:-reach] * auto.size + composed[reach:])
         composed = nearer
         reach *= 2
-    state = np.empty(blocks, np.uint8)
+    state = np.empty(blocks, np.int32)
     state[0] = CLOSED
     state[1:] = auto.first[composed[:-1]]
+    state *= 2 * N_SYMBOLS
     begins = np.empty(grid.shape, bool)
     for j in range(block):
-        begins[j] = auto.begins[state, grid[j]]
-        state = auto.to[state, grid[j]]
-    return np.flatnonzero(begins.T.reshape(-1)[:n])
+        state += grid[j]
+        auto.begins.take(state, out=begins[j])
+        state = auto.moves.take(state)
+    return np.flatnonzero(np.ascontiguousarray(begins.T).reshape(-1)[:n])
 
 
 def chunk_pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,41 +237,69 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class PieceIds(dict):
-    """Piece to its place in growing arrays of ids; emptied when it holds `most` pieces, which bounds memory only."""
+class PieceTable:
+    """Ids by piece, cached in arrays sorted by a hash; `encode` gets the pieces that are new, each once.
 
-    def __init__(self, encode, most: int = 500_000) -> None:
-        super().__init__()
+    A piece is known by its 64-bit hash, its size and its first 8 bytes; pieces that agree in the hash alone are
+    encoded for themselves. The table starts anew when it holds `most` pieces: that bounds memory and changes no result.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 500_000) -> None:
         self.encode, self.most = encode, most
         self._restart()
 
     def _restart(self) -> None:
-        self.clear()
-        self._starts, self._flat = array("q", [0]), array("I")
-
-    def __missing__(self, piece: bytes) -> int:
-        self[piece] = at = len(self._starts) - 1
-        self._flat.extend(self.encode(piece))
-        self._starts.append(len(self._flat))
-        return at
-
-    def learn(self, pieces: list[bytes], ids: list[list[int]]) -> None:
-        for piece, own in zip(pieces, ids):
-            self[piece] = len(self._starts) - 1
-            self._flat.extend(own)
-            self._starts.append(len(self._flat))
-
-    def lookup(self, pieces: list[bytes], keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and the number of ids of each piece. keep: nothing is forgotten before."""
-        if len(self) > self.most and not keep:
+        self.keys, self.place = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.checks, self.sizes, self.starts, self.flat = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.encode(pieces)
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def lookup(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces between bounds, in order, and the number of ids of each piece."""
+        n = len(bounds) - 1
+        if n == 0:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.keys) > self.most:
             self._restart()
-        at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
-        starts, flat = np.array(self._starts), np.array(self._flat)
-        first = starts[at]
-        n = starts[at + 1] - first
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        return flat[np.repeat(first - (ends - n), n) + np.arange(total)], n
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        hashes = span_hashes(buf, starts, bounds[1:], ALL_BYTES)
+        padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(buf), "<u8", padded, strides=(1,))[starts]
+        eight &= _HEADS.take(np.minimum(sizes, 8))
+        code, keys = pd.factorize(hashes)
+        first = np.empty(len(keys), np.int64)
+        first[code[::-1]] = np.arange(n - 1, -1, -1)
+        checks, key_sizes = eight[first], sizes[first]
+        if not ((eight == checks.take(code)) & (sizes == key_sizes.take(code))).all():
+            return self._encoded(cut(buf, bounds))
+        at = np.searchsorted(self.keys, keys)
+        near = np.minimum(at, max(len(self.keys) - 1, 0))
+        same = self.keys[near] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        place = np.full(len(keys), -1)
+        place[same] = self.place[near[same]]
+        hit = same.copy()
+        hit[same] = (self.checks[place[same]] == checks[same]) & (self.sizes[place[same]] == key_sizes[same])
+        new = np.flatnonzero(~hit)
+        if len(new):
+            raw, begin = buf.tobytes(), starts[first[new]].tolist()
+            flat, counts = self._encoded([raw[a : a + k] for a, k in zip(begin, key_sizes[new].tolist())])
+            place[new] = len(self.checks) + np.arange(len(new))
+            self.checks, self.sizes = np.concatenate([self.checks, checks[new]]), np.concatenate([self.sizes, key_sizes[new]])
+            self.starts, self.flat = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)]), np.concatenate([self.flat, flat])
+            fresh = new[~same[new]]
+            fresh = fresh[np.argsort(keys[fresh])]
+            where = np.searchsorted(self.keys, keys[fresh])
+            self.keys, self.place = np.insert(self.keys, where, keys[fresh]), np.insert(self.place, where, place[fresh])
+        begin = self.starts.take(place)
+        counts = self.starts.take(place + 1) - begin
+        begin, counts = begin.take(code), counts.take(code)
+        ends = np.cumsum(counts)
+        return self.flat.take(np.repeat(begin - (ends - counts), counts) + np.arange(int(ends[-1]))), counts
+
+
+_HEADS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def cut(buf: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -271,17 +307,17 @@ def cut(buf: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
-_caches: dict[str, tuple[PieceIds, np.ndarray, np.ndarray]] = {}
+_caches: dict[str, tuple[PieceTable, np.ndarray, np.ndarray]] = {}
 
 
-def _tools(path: str) -> tuple[PieceIds, np.ndarray, np.ndarray]:
-    """Cache of pieces, and all tokens' bytes with their offsets by id, once in each worker."""
+def _tools(path: str) -> tuple[PieceTable, np.ndarray, np.ndarray]:
+    """Cache of pieces, and all tokens' bytes and decimals by id, once in each worker."""
     if path not in _caches:
         ranks = read_ranks(path)
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             tokens[i] = token
-        _caches[path] = (PieceIds(lambda piece: merge_pairs(piece, ranks)), np.array(tokens, object), np.array([b"%d " % i for i in range(len(tokens))], object))
+        _caches[path] = (PieceTable(lambda pieces: [merge_pairs(p, ranks) for p in pieces]), np.array(tokens, object), np.array([b"%d " % i for i in range(len(tokens))], object))
     return _caches[path]
 
 
@@ -302,7 +338,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
         sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         for rows, buf, offs in text_chunks(batches, text):
             bounds, before = chunk_pieces(buf, offs)
-            ids, n = cache.lookup(cut(buf, bounds))
+            ids, n = cache.lookup(buf, bounds)
             at = np.concatenate([[0], np.cumsum(n)])[before]
             lists = pa.array(at.astype(np.int32))
             ends = np.cumsum(sizes[ids]) - np.repeat(offs[:-1], np.diff(at))
@@ -339,7 +375,7 @@ def round_trip(docs: DataFrame, ranks_path: str) -> DataFrame:
         sha = hashlib.sha256
         for rows, buf, offs in text_chunks(batches):
             bounds, before = chunk_pieces(buf, offs)
-            ids, n = cache.lookup(cut(buf, bounds))
+            ids, n = cache.lookup(buf, bounds)
             at = np.concatenate([[0], np.cumsum(n)])[before].tolist()
             words, parts = decimals[ids].tolist(), tokens[ids].tolist()
             yield pa.RecordBatch.from_arrays(

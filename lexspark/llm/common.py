@@ -100,8 +100,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
-_BYTE_CODES = mixed(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
-_BYTE_CODES[[0x20, 9, 10, 11, 12, 13]] = 0
+#: Random codes of bytes; for words those of white space are 0.
+ALL_BYTES = mixed(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
+WORD_BYTES = np.where(_SPACES, U64(0), ALL_BYTES)
 _powers = np.ones(1, U64)
 
 
@@ -114,8 +115,8 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words (no white space inside), from random byte codes times powers of a base."""
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = WORD_BYTES) -> np.ndarray:
+    """64-bit hashes of spans, from byte codes times powers of a base; bytes between spans must have code 0."""
     if len(starts) == 0:
         return np.zeros(0, U64)
     first = int(starts[0])
@@ -123,9 +124,10 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     at = np.arange(first, len(buf), dtype=np.int64) - np.repeat(starts, gaps)
     lens = (ends - starts).astype(U64)
     longest = int(lens.max())
-    np.minimum(at, longest - 1, out=at)  # only bytes of white space, whose code is 0, lie further on
-    codes = _BYTE_CODES[buf[first:]] * powers(longest)[at]
-    return mixed(np.add.reduceat(codes, starts - first) + lens * U64(0xA24BAED4963EE407))
+    np.minimum(at, longest - 1, out=at)  # only bytes between spans lie further on
+    terms = codes.take(buf[first:])
+    terms *= powers(longest).take(at)
+    return mixed(np.add.reduceat(terms, starts - first) + lens * U64(0xA24BAED4963EE407))
 
 
 def hash_bytes(value: bytes) -> int:

@@ -11,7 +11,6 @@ data bytes; crc32 of all before it, uint32.
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.bpe import PieceIds, chunk_pieces, cut
+from lexspark.llm.bpe import PieceTable, chunk_pieces
 from lexspark.llm.common import input_partitions, new_folder, staged, text_chunks
 
 MAGIC = b"FRVB0001"
@@ -103,36 +102,33 @@ def read_shard(body: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray, i
     return [None if z else d for d, z in zip(doc_ids.tolist(), null.tolist())], sizes, by_rank[unpack(control, data, n)], before
 
 
-_caches: dict[str, tuple[PieceIds, object]] = {}
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: itself if it shows, else the next from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def _library(path: str) -> tuple[PieceIds, object]:
+_caches: dict[str, PieceTable] = {}
+
+
+def _library(path: str) -> PieceTable:
     if path not in _caches:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _caches[path] = (PieceIds(None), tokenizer)
+        tokenize, letters = Tokenizer.from_file(path).model.tokenize, byte_letters()
+        _caches[path] = PieceTable(lambda pieces: [[t.id for t in tokenize(p.decode("latin-1").translate(letters))] for p in pieces], most=1_000_000)
     return _caches[path]
 
 
 def library_ids(buf: np.ndarray, offs: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """The tokenizers library's ids of a chunk of texts, and the number of ids of each text.
 
-    A byte-level tokenizer encodes each pre-token for itself, so the library is given every pre-token
-    that this worker has not met before, once.
+    A byte-level tokenizer encodes each pre-token for itself, so the library's model is given every pre-token
+    that this worker has not met before, once. Strings of special tokens are ordinary text.
     """
-    cache, tokenizer = _library(path)
-    if len(cache) > cache.most:
-        cache._restart()
     bounds, before = chunk_pieces(buf, offs)
-    pieces = cut(buf, bounds)
-    new = [p for p in set(pieces) if p not in cache]
-    if new:
-        encoded = tokenizer.encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-        cache.learn(new, [e.ids for e in encoded])
-    ids, n = cache.lookup(pieces, keep=True)
+    ids, n = _library(path).lookup(buf, bounds)
     return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[before])
 
 
