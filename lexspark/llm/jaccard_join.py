@@ -8,8 +8,10 @@
    shingles by frequency, rare first, then by an own hash; two sets that link share a shingle within their
    prefixes under every order. The first order's prefixes make buckets; pairs must also share one in the
    prefixes of the other orders before they are verified exactly.
-4. Buckets first give pairs of each member with one pivot. Then only pairs of different components so far are
-   tried, all of them: pairs within a component could add nothing, so a large group of copies isn't squared.
+4. Each bucket has a pivot, and its members join the pivot's group. Members are first tried with their pivot. Then
+   those in another component than their pivot are tried with all members of the group in other components, so
+   every pair that shares a bucket is tried or already connected. Sets travel once to a group (or to each of its
+   shares), pairs are never rows, and a large group of copies isn't squared.
 """
 
 from __future__ import annotations
@@ -144,8 +146,8 @@ def _shared(sets: DataFrame) -> DataFrame:
 
 _UNITS = [("kind", pa.int32()), ("part", pa.int32()), ("unit", _I), ("payload", _B)]
 _UNITS_SQL = "kind int, part int, unit long, payload binary"
-_NODES = [("kind", pa.int32()), ("token", _I), ("node", _I), ("n", _I), ("pos", _I), ("rare", _I), ("payload", _B)]
-_NODES_SQL = "kind int, token long, node long, n long, pos long, rare long, payload binary"
+_NODES = [("kind", pa.int32()), ("token", _I), ("node", _I), ("n", _I), ("rare", _I), ("payload", _B)]
+_NODES_SQL = "kind int, token long, node long, n long, rare long, payload binary"
 NODE, ENTRY = 0, 1
 
 
@@ -225,7 +227,7 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
                 first = (pos < length[doc]) & shared[rank]
                 if k == 0:
                     rare = length - np.bincount(doc[first], minlength=len(nodes))
-                    entry = sets[rank][first], doc[first], pos[first]
+                    entry = sets[rank][first], doc[first]
                 else:
                     chosen, of = sets[rank][first], doc[first]
                     again = np.lexsort((chosen, of))
@@ -233,8 +235,8 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
             kept, kept_at = sets[shared], np.searchsorted(doc[shared], np.arange(len(nodes) + 1))
             payload = [pack(kept[kept_at[i] : kept_at[i + 1]], *(t[a[i] : a[i + 1]] for t, a in lists)) for i in range(len(nodes))]
             yield rows_of(_NODES, kind=[NODE] * len(nodes), node=nodes, n=n, payload=payload)
-            token, of, pos = entry
-            yield rows_of(_NODES, kind=[ENTRY] * len(token), token=token.view(np.int64), node=nodes[of], n=n[of], pos=pos, rare=rare[of])
+            token, of = entry
+            yield rows_of(_NODES, kind=[ENTRY] * len(token), token=token.view(np.int64), node=nodes[of], rare=rare[of])
 
         for batch in batches:
             for part, unit, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
@@ -254,106 +256,132 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
     return staged(together.mapInArrow(order_sets, _NODES_SQL), "jaccard-nodes", partition_by="kind")
 
 
-_PAIRS = "a long, b long"
+_MEMBERS = "pivot long, node long, linked boolean"
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[list[np.ndarray]]:
-    """Runs of rows with one key, from sorted batches of integers."""
-    held: list[list[np.ndarray]] = []
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        cols = [np.asarray(c) for c in batch.columns]
-        cuts = [0, *(np.flatnonzero(np.diff(cols[key])) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            part = [c[lo:hi] for c in cols]
-            if held and held[0][key][0] != part[key][0]:
-                yield [np.concatenate(c) for c in zip(*held)]
-                held = []
-            held.append(part)
-    if held:
-        yield [np.concatenate(c) for c in zip(*held)]
-
-
-def _possible(n1, pos1, n2, pos2, percent: int):
-    """Whether sizes and places in the prefixes leave room for enough overlap."""
-    need = (percent * (n1 + n2) + 99 + percent) // (100 + percent)
-    most = 1 + np.minimum(pos1, pos2) + np.minimum(n1 - pos1 - 1, n2 - pos2 - 1)
-    return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (most >= need)
-
-
-def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each bucket's members with its pivot, the member with the fewest shingles of its own."""
+def _memberships(entries: DataFrame) -> DataFrame:
+    """pivot, node: each bucket's pivot, the member with the fewest shingles of its own, with each other member."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, pivot = None, None
+        token = pivot = None
         for batch in batches:
-            tokens, rare, node, n, pos = (np.asarray(c) for c in batch.columns)
+            tokens, node = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             if len(tokens) == 0:
                 continue
             first = np.ones(len(tokens), bool)
             first[1:] = tokens[1:] != tokens[:-1]
             first[0] = token is None or tokens[0] != token
             lead = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
-            get = lambda c, i: np.where(lead >= 0, c[np.maximum(lead, 0)], pivot[i] if pivot else 0)
-            p_node, p_n, p_pos = get(node, 0), get(n, 1), get(pos, 2)
-            ok = ~first & (p_node != node) & _possible(p_n, p_pos, n, pos, percent)
-            token, pivot = tokens[-1], (p_node[-1], p_n[-1], p_pos[-1])
-            yield pa.RecordBatch.from_pydict({"a": p_node[ok], "b": node[ok]})
+            pivots = np.where(lead >= 0, node[np.maximum(lead, 0)], pivot if pivot is not None else 0)
+            other = pivots != node
+            token, pivot = tokens[-1], pivots[-1]
+            yield pa.RecordBatch.from_pydict({"pivot": pivots[other], "node": node[other]})
 
-    dealt = entries.select("token", "rare", "node", "n", "pos").repartition(input_partitions(entries.sparkSession), "token")
-    return dealt.sortWithinPartitions("token", "rare", "node").mapInArrow(pairs, _PAIRS).distinct()
+    dealt = entries.select("token", "rare", "node").repartition(input_partitions(entries.sparkSession), "token")
+    return dealt.sortWithinPartitions("token", "rare", "node").mapInArrow(pairs, "pivot long, node long").distinct()
 
 
-def _cross_pairs(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs in buckets whose members are in different components so far."""
+def _tried_with_pivots(members: DataFrame, sets: DataFrame, percent: int, share: int = 256) -> DataFrame:
+    """members with `linked`. A pivot's set goes to one task for each `share` members, whose sets come after it."""
+    counts = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("salts"))
+    salted = members.join(counts, "pivot").withColumn("salt", F.pmod(F.hash("node"), F.col("salts")))
+    own = salted.join(sets, "node").select("pivot", "salt", "node", "n", "payload")
+    pivots = counts.join(sets.withColumnRenamed("node", "pivot"), "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("node"), "n", "payload")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, n_first = [], 0
+        for batch in batches:
+            out: list[tuple[int, int, bool]] = []
+            for pivot, node, n, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
+                arrays = unpack(raw, *["<u8"] * ORDERS)
+                if node is None:
+                    first, n_first = arrays, n
+                    continue
+                linked = False
+                if all(_common(x, y) for x, y in zip(first[1:], arrays[1:])):  # the other orders' filters
+                    both = _common(first[0], arrays[0])
+                    linked = 100 * both >= percent * (n + n_first - both)
+                out.append((pivot, node, linked))
+            columns = list(zip(*out)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], _I), pa.array(columns[1], _I), pa.array(columns[2], pa.bool_())], names=["pivot", "node", "linked"])
+
+    dealt = pivots.unionByName(own).repartition(input_partitions(members.sparkSession), "pivot", "salt")
+    return dealt.sortWithinPartitions("pivot", "salt", F.col("node").asc_nulls_first()).mapInArrow(verify, _MEMBERS)
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, n, node, pos, label in _groups(batches):
-            if (label == label[0]).all():
-                continue
-            found = []
-            for i in range(len(n) - 1):  # by size, so partners lie within a window
-                stop = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-                rest = slice(i + 1, stop)
-                ok = (label[rest] != label[i]) & _possible(n[i], pos[i], n[rest], pos[rest], percent)
-                if ok.any():
-                    other = node[rest][ok]
-                    found.append((np.minimum(other, node[i]), np.maximum(other, node[i])))
-            for lo in range(0, len(found), 256):
-                a, b = (np.concatenate(x) for x in zip(*found[lo : lo + 256]))
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
-
-    known = entries.select("token", "n", "node", "pos").join(labels, "node", "left")
-    rows = known.select("token", "n", "node", "pos", F.coalesce("label", "node").alias("label"))
-    dealt = rows.repartition(input_partitions(entries.sparkSession), "token").sortWithinPartitions("token", "n", "node")
-    return dealt.mapInArrow(pairs, _PAIRS).distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, percent: int, share: int = 256) -> DataFrame:
-    """The pairs that link. A pivot's payload goes to one task for each `share` partners, its partners' after it."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("salts"))
-    salted = pairs.join(counts, "a").withColumn("salt", F.pmod(F.hash("b"), F.col("salts")))
-    partners = salted.join(nodes.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "n", "payload")
-    pivots = counts.join(nodes.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "n", "payload")
+
+class _Left:
+    """The sets of a share of a group, by member: how many members of each that another set has."""
+
+    def __init__(self, rows: list[tuple[int, int, int, list[np.ndarray]]]) -> None:
+        self.node, self.n, self.label = (np.array([r[i] for r in rows]) for i in range(3))
+        self.tables = [self._table([r[3][k] for r in rows]) for k in range(ORDERS)]
+
+    def _table(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        member = np.concatenate(sets)
+        order = np.argsort(member, kind="stable")
+        return member[order], np.repeat(np.arange(len(sets)), list(map(len, sets)))[order]
+
+    def common(self, k: int, own: np.ndarray) -> np.ndarray:
+        members, of = self.tables[k]
+        lo, hi = np.searchsorted(members, own), np.searchsorted(members, own, side="right")
+        size = hi - lo
+        ends = np.cumsum(size)
+        at = np.repeat(lo - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return np.bincount(of[at], minlength=len(self.node))
+
+
+def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, share: int = 4_000_000) -> DataFrame:
+    """a, b: links between components so far, as many in a task as connect what it has seen.
+
+    In each group the members outside their pivot's component (left) are tried with all members in other components
+    than theirs (right). Left rows are dealt into shares of about `share` tries; right rows go to every share.
+    """
+    label = lambda name: F.coalesce(F.col(name), F.col(name[2:]))
+    known = tried.join(labels.select(F.col("node"), F.col("label").alias("l_node")), "node", "left").join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("l_pivot")), "pivot", "left")
+    rows = known.select("pivot", "node", label("l_node").alias("label"), (label("l_node") != label("l_pivot")).alias("left"))
+    groups = rows.groupBy("pivot").agg(F.count_if("left").alias("n_left"), F.count(F.lit(1)).alias("n_all")).where("n_left > 0 AND n_all > 1")
+    shares = groups.select("pivot", F.ceil(F.col("n_left") * F.col("n_all") / share).cast("int").alias("shares"))
+    open_ = rows.join(shares, "pivot").join(sets, "node")
+    lefts = open_.where("left").select("pivot", F.pmod(F.hash("node"), F.col("shares")).alias("share"), F.lit(0).alias("side"), "node", "n", "label", "payload")
+    rights = open_.select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(1).alias("side"), "node", "n", "label", "payload")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, n_own = None, 0
+        key, held, left = None, [], None
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for a, b, n, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
-                sets = unpack(raw, *["<u8"] * ORDERS)
-                if b is None:
-                    own, n_own = sets, n
+            for pivot, part, side, node, n, own_label, raw in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if (pivot, part) != key:
+                    key, held, left, root = (pivot, part), [], None, {}
+                arrays = unpack(raw, *["<u8"] * ORDERS)
+                if side == 0:
+                    held.append((node, n, own_label, arrays))
+                    continue
+                if not held:
                     continue
-                if all(_common(x, y) for x, y in zip(own[1:], sets[1:])):  # the other orders' filters
-                    both = _common(own[0], sets[0])
-                    if 100 * both >= percent * (n + n_own - both):
-                        out.append((a, b))
+                left = left or _Left(held)
+                may = (left.label != own_label) & (100 * np.minimum(left.n, n) >= percent * np.maximum(left.n, n))
+                for k in range(1, ORDERS):  # the other orders' filters
+                    if may.any():
+                        may &= left.common(k, arrays[k]) > 0
+                if may.any():
+                    both = left.common(0, arrays[0])
+                    for i in np.flatnonzero(may & (100 * both >= percent * (left.n + n - both))).tolist():
+                        x, y = find(int(left.label[i])), find(own_label)
+                        if x != y:
+                            root[x] = y
+                            out.append((int(left.node[i]), node))
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], _I), "b": pa.array([y for _, y in out], _I)})
 
-    dealt = pivots.unionByName(partners).repartition(input_partitions(pairs.sparkSession), "a", "salt")
-    return dealt.sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(verify, _PAIRS)
+    dealt = lefts.unionByName(rights).repartition(input_partitions(tried.sparkSession), "pivot", "share")
+    return dealt.sortWithinPartitions("pivot", "share", "side").mapInArrow(verify, "a long, b long")
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -401,12 +429,11 @@ def join_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     wanted = groups.where(f"100 * coalesce(shared, 0) >= {percent} * n").select("node", "rep")
     nodes = _prefixes(_candidate_units(docs, wanted, words), percent)
     payloads = nodes.where(f"kind = {NODE}").select("node", "n", "payload").dropDuplicates(["node"])
-    entries = nodes.where(f"kind = {ENTRY}").select("token", "node", "n", "pos", "rare").distinct()
-    tried = staged(_pivot_pairs(entries, percent), "jaccard-pairs")
-    links = staged(_verified(tried, payloads, percent), "jaccard-links")
+    entries = nodes.where(f"kind = {ENTRY}").select("token", "rare", "node")
+    tried = staged(_tried_with_pivots(_memberships(entries), payloads, percent), "jaccard-tried")
+    links = tried.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     labels = components(links)
-    left = _cross_pairs(entries, labels, percent).join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = staged(_verified(staged(left, "jaccard-pairs"), payloads, percent), "jaccard-links")
+    more = staged(_tried_within_groups(tried, labels, payloads, percent), "jaccard-links")
     if not more.isEmpty():
         labels = components(links.union(more))
     # By set, then by component: what a component keeps is the least representative of its sets.
