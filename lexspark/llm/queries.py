@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, jaccard_join, language_id, media, mixing, quality_rules, secret_scan, token_binary
+from lexspark.llm import bpe, chat, jaccard_join, language_id, language_model, media, mixing, quality_rules, secret_scan, token_binary
 
 
 def _path(name: str) -> str:
@@ -52,6 +52,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,5 +68,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), language_id.fit(language_id.training_rows(docs)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_binary, op3_secret_scan, op4_ngram_jaccard_join, op5_byte_bpe, op6_media, op7_mixing, op9_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_binary, op3_secret_scan, op4_ngram_jaccard_join, op5_byte_bpe, op6_media, op7_mixing, op8_language_model, op9_chat_format, op10_language_id)}
 ORACLE_SQL: dict[str, str] = {}
