@@ -126,8 +126,8 @@ def _hits(index: DataFrame, phrase: Phrase, key: str) -> DataFrame:
     return start.groupBy(key).agg(F.count(F.lit(1)).alias("tf"), F.first("n_tokens").alias("n_tokens"))
 
 
-def search(documents: DataFrame, query: str, limit: int = 20, day: str | None = None, key: str = "urn", index: DataFrame | None = None) -> DataFrame:
-    """The best documents with score, lower being better, ties by key. day: only those in force then.
+def search(documents: DataFrame, query: str, limit: int | None = 20, day: str | None = None, key: str = "urn", index: DataFrame | None = None) -> DataFrame:
+    """The best documents with score, lower being better, ties by key; limit None: all. day: only those in force then.
 
     index: a stored table of postings(); else it is made from documents.
     """
@@ -153,4 +153,5 @@ def search(documents: DataFrame, query: str, limit: int = 20, day: str | None =
         return left & right if node[0] == "and" else left | right if node[0] == "or" else left & ~right
 
     kept = scored.where(holds(tree)).drop("found").join(documents, key)
-    return (kept.where(in_force(day)) if day else kept).orderBy("score", key).limit(limit)
+    ranked = (kept.where(in_force(day)) if day else kept).orderBy("score", key)
+    return ranked if limit is None else ranked.limit(limit)

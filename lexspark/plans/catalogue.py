@@ -37,13 +37,14 @@ def _urn() -> F.Column:
     return T.sha256_text("text")
 
 
-N = F.count(F.lit(1))
+def _n() -> F.Column:
+    return F.count(F.lit(1))
 
 
 @_register("SELECT sha256(text) AS urn, arg_min(doc_id, (lang, source, doc_id)) AS doc_id, count(*) AS n_candidates FROM documents GROUP BY 1")
 def canonical_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return docs.groupBy(_urn().alias("urn")).agg(F.min_by("doc_id", F.struct("lang", "source", "doc_id")).alias("doc_id"), N.alias("n_candidates"))
+    return docs.groupBy(_urn().alias("urn")).agg(F.min_by("doc_id", F.struct("lang", "source", "doc_id")).alias("doc_id"), _n().alias("n_candidates"))
 
 
 @_register(
@@ -93,18 +94,18 @@ def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def collection_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = _table(spark, sf_dir, "documents").select("doc_id", "source").join(_table(spark, sf_dir, "labels"), "doc_id", "left")
-    return both.groupBy(F.col("source").alias("collection")).agg(N.alias("received"), F.count("quality").alias("labelled"), F.coalesce(F.sum("quality"), F.lit(0)).cast("long").alias("good"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+    return both.groupBy(F.col("source").alias("collection")).agg(_n().alias("received"), F.count("quality").alias("labelled"), F.coalesce(F.sum("quality"), F.lit(0)).cast("long").alias("good"), F.count_if(F.col("toxic") == 1).alias("toxic"))
 
 
 @_register("SELECT count(*) AS acts, sum(n_chars)::BIGINT AS chars, count(DISTINCT source) AS collections, max(n_chars) AS longest FROM documents")
 def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").agg(N.alias("acts"), F.sum("n_chars").alias("chars"), F.count_distinct("source").alias("collections"), F.max("n_chars").alias("longest"))
+    return _table(spark, sf_dir, "documents").agg(_n().alias("acts"), F.sum("n_chars").alias("chars"), F.count_distinct("source").alias("collections"), F.max("n_chars").alias("longest"))
 
 
 @_register("SELECT coalesce(nullif(o_orderpriority, ''), 'ignoto') AS tipo, substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS year, count(*) AS n FROM orders GROUP BY 1, 2")
 def count_by_type_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").select(F.coalesce(F.nullif("o_orderpriority", F.lit("")), F.lit("ignoto")).alias("tipo"), T.year_bucket(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("year"))
-    return rows.groupBy("tipo", "year").agg(N.alias("n"))
+    return rows.groupBy("tipo", "year").agg(_n().alias("n"))
 
 
 @_register("SELECT source AS code, max(n_chars) AS max_articles FROM documents GROUP BY 1")
@@ -166,7 +167,7 @@ def _no_exceptions(spark: SparkSession) -> DataFrame:
 )
 def regression_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
-    counts = lines.groupBy("l_returnflag").agg(N.alias("old"), F.count_if(F.col("l_linenumber") != 1).alias("new"))
+    counts = lines.groupBy("l_returnflag").agg(_n().alias("old"), F.count_if(F.col("l_linenumber") != 1).alias("new"))
     whole = counts.agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
     per = lambda df, c, metric, old, new: df.select(c.alias("collection"), F.lit(metric).alias("metric"), F.col(old).alias("old"), F.col(new).alias("new"))
     metrics = per(counts, F.col("l_returnflag"), "articles", "old", "new").unionByName(per(whole, F.lit("*"), "articles", "old", "new")).unionByName(per(whole, F.lit("*"), "external_links", "new", "old"))
@@ -186,7 +187,7 @@ def regression_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coverage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     required = _table(spark, sf_dir, "benchmark").select(F.concat(F.lit("src"), F.col("item_id").cast("string")).alias("code"), (F.col("item_id") + 30).alias("min_articles"), F.array(F.concat(F.lit("anchor-"), F.col("item_id").cast("string"))).alias("required_anchors"))
-    acts = docs.groupBy(F.col("source").alias("code")).agg(N.alias("articles")).withColumn("path", T.repo_path("code", F.lit("")))
+    acts = docs.groupBy(F.col("source").alias("code")).agg(_n().alias("articles")).withColumn("path", T.repo_path("code", F.lit("")))
     have = docs.select(F.col("source").alias("code"), F.concat(F.lit("anchor-"), (F.col("doc_id") % 40).cast("string")).alias("anchor")).distinct()
     return gates.coverage_failures(required, acts, have)
 
@@ -200,7 +201,7 @@ def exception_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     errors = docs.select(F.col("doc_id").alias("error_id"), "source", F.concat(F.lit("bad "), "lang").alias("message"), F.lit("*").alias("collection"), F.lit("invalid_xml").alias("metric"))
     listed = _exceptions(spark, "('invalid_xml', '*', CAST(NULL AS INT), array('src1'), CAST(NULL AS STRING), 'known', '2999-01-01')", "('invalid_xml', '*', 1, array('src'), 'bad', 'expired', '1999-01-01')")
-    counted = docs.where("lang = 'es'").agg(N.cast("int").alias("expected_value")).selectExpr("'invalid_xml' AS metric", "'*' AS collection", "expected_value", "CAST(NULL AS ARRAY<STRING>) AS expected_sources", "'bad es' AS message", "'known' AS reason", "'2999-01-01' AS expires")
+    counted = docs.where("lang = 'es'").agg(_n().cast("int").alias("expected_value")).selectExpr("'invalid_xml' AS metric", "'*' AS collection", "expected_value", "CAST(NULL AS ARRAY<STRING>) AS expected_sources", "'bad es' AS message", "'known' AS reason", "'2999-01-01' AS expires")
     return gates.unallowed(errors, gates.active(listed.unionByName(counted), "2026-01-01")).select("error_id")
 
 
@@ -333,14 +334,15 @@ _FTS_SQL = """WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(transl
     s AS (SELECT count(*) AS nd, avg(n) AS av, count(*) FILTER (a > 0) AS da, count(*) FILTER (b > 0) AS db, count(*) FILTER (c > 0) AS dc FROM l),
     i AS (SELECT *, CASE WHEN ln((nd - da + 0.5e0) / (da + 0.5e0)) > 0 THEN ln((nd - da + 0.5e0) / (da + 0.5e0)) ELSE 1e-6 END AS ia, CASE WHEN ln((nd - db + 0.5e0) / (db + 0.5e0)) > 0 THEN ln((nd - db + 0.5e0) / (db + 0.5e0)) ELSE 1e-6 END AS ib, CASE WHEN ln((nd - dc + 0.5e0) / (dc + 0.5e0)) > 0 THEN ln((nd - dc + 0.5e0) / (dc + 0.5e0)) ELSE 1e-6 END AS ic FROM s)
     SELECT doc_id, round(-(ia * a * 2.2e0 / (a + 1.2e0 * (0.25e0 + 0.75e0 * n / av)) + ib * b * 2.2e0 / (b + 1.2e0 * (0.25e0 + 0.75e0 * n / av)) + ic * c * 2.2e0 / (c + 1.2e0 * (0.25e0 + 0.75e0 * n / av))), 6) AS score
-    FROM l, i WHERE a > 0 AND b > 0 AND NOT c > 0 ORDER BY score, doc_id LIMIT 20"""
+    FROM l, i WHERE a > 0 AND b > 0 AND NOT c > 0 ORDER BY 2, 1 LIMIT 20"""
 
 
 @_register(_FTS_SQL)
 def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("urn"), F.lit("x").alias("titolo"), "text")
-    found = search.search(docs, "that thin* NOT de", limit=20)
-    return found.select(F.col("urn").alias("doc_id"), F.round("score", 6).alias("score"))
+    found = search.search(docs, "that thin* NOT de", limit=None)
+    rounded = found.select(F.col("urn").alias("doc_id"), F.round("score", 6).alias("score"))
+    return rounded.orderBy("score", "doc_id").limit(20)
 
 
 @_register("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')")
