@@ -22,9 +22,13 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
+KEY_BITS = 60
+
+
 def random_key(*columns: str, seed: int = 0) -> Column:
-    """A non-negative 62-bit number, random by hash of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 2)
+    """A number of KEY_BITS bits, random by hash of the columns."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *values)), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame, most_epochs: int = MOST_EPOCHS) -> DataFrame:
@@ -62,7 +66,7 @@ def mix(docs: DataFrame, size: Column | None = None, seed: int = 0, most_epochs:
     ranges = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n_rows") / RANGE_ROWS))).cast("int")
     goals = sources.withColumn("bits", ranges)
     # One row a source: AQE broadcasts it if it is small.
-    ranged = rows.join(goals, rows["source"].eqNullSafe(goals["source"]), "left").select(rows["*"], "source_size", "target", F.expr("shiftright(row_key, 62 - bits)").alias("key_range"))
+    ranged = rows.join(goals, rows["source"].eqNullSafe(goals["source"]), "left").select(rows["*"], "source_size", "target", F.expr(f"shiftright(row_key, {KEY_BITS} - bits)").alias("key_range"))
     sums = ranged.groupBy("source", "key_range").agg(F.sum("size").alias("range_size"))
     earlier = Window.partitionBy("source").orderBy("key_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(F.col("source").alias("o_source"), F.col("key_range").alias("o_range"), F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("range_before"))
