@@ -330,7 +330,7 @@ class _Left:
         return np.bincount(of[at], minlength=len(self.node))
 
 
-def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, share: int = 4_000_000) -> DataFrame:
+def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, share: int = 250_000) -> DataFrame:
     """a, b: links between components so far, as many in a task as connect what it has seen.
 
     In each group the members outside their pivot's component (left) are tried with all members in other components
