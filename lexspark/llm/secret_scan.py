@@ -160,38 +160,38 @@ def _spans(rule: Rule, order: int, text: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """docs with `found`: an array of (start, end, ord, kind) of all rules' matches, by start, then by the rules' order.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", into: str = "found") -> DataFrame:
+    """docs with `into`: an array of (start, end, ord, kind) of all rules' matches, by start, then by the rules' order.
 
     Code points, end exclusive; matches of one rule do not overlap. Null text has none. Documents are matched to
     their candidates by doc_id and a hash of the text, so null and repeated doc_ids are allowed and rows stay.
-    A column named found is replaced.
+    A column of that name is replaced.
     """
     queries = [(i, q) for i, r in enumerate(rules) for q in trigram_query(r.pattern) or []]
     indexed = {i for i, _ in queries}
     trigrams = sorted({g for _, q in queries for g in q})
-    marked = docs.drop("found").withColumn("__hash", F.xxhash64(text)).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    marked = docs.drop(into).withColumn("__hash", F.xxhash64(text)).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     if trigrams:
-        wanted = candidates(postings(docs, trigrams, text), queries, trigrams).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of"), "rules")
+        wanted = candidates(postings(docs, trigrams, text), queries, trigrams).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of"), F.col("rules").alias("__rules"))
         marked = marked.join(wanted, marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__hash"] == F.col("__of")), "left")
     none = "cast(array() AS array<struct<start:int,`end`:int,ord:int,kind:string>>)"
     each = []
     for i, rule in enumerate(rules):
         spans = _spans(rule, i, F.col("__text"))
-        each.append(F.when(F.coalesce(F.col("rules"), F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(F.expr(none)) if i in indexed else spans)
-    return marked.withColumn("found", F.sort_array(F.concat(*each))).drop("__hash", "__text", "__id", "__of", "rules")
+        each.append(F.when(F.coalesce(F.col("__rules"), F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(F.expr(none)) if i in indexed else spans)
+    return marked.withColumn(into, F.sort_array(F.concat(*each))).drop("__hash", "__text", "__id", "__of", "__rules")
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """docs with every span of scan() replaced by mark (spans that overlap or touch as one), n_chars counted anew."""
-    found = scan(docs)
+    found = scan(docs, into="__found")
     cleaned = F.expr(
-        f"""CASE WHEN size(found) = 0 THEN text ELSE aggregate(found, named_struct('at', 0, 'out', cast('' AS string)),
+        f"""CASE WHEN size(__found) = 0 THEN text ELSE aggregate(__found, named_struct('at', 0, 'out', cast('' AS string)),
         (a, s) -> CASE WHEN s.start <= a.at AND a.at > 0 THEN named_struct('at', greatest(a.at, s.`end`), 'out', a.out)
           ELSE named_struct('at', s.`end`, 'out', concat(a.out, substring(text, a.at + 1, s.start - a.at), '{mark}')) END,
         a -> concat(a.out, substring(text, a.at + 1))) END"""
     )
-    out = found.withColumn("text", cleaned).drop("found")
+    out = found.withColumn("text", cleaned).drop("__found")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
