@@ -104,7 +104,7 @@ def format_chat(turns: DataFrame, template: ChatTemplate | None = None) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()))], names=["conv_id", "seq", "text", "loss", "turn_ok"])
 
     rows = turns.select(F.col("conv_id").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"), F.col("turn").cast("long"))
-    dealt = rows.repartition(input_partitions(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = rows.repartition(input_partitions(turns), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.select("conv_id", "role", "text").mapInArrow(run, SEGMENTS)
 
 
@@ -116,7 +116,7 @@ def read_chat(segments: DataFrame, template: ChatTemplate | None = None, in_orde
     """
     template = template or ChatTemplate()
     if not in_order:
-        segments = segments.repartition(input_partitions(segments.sparkSession), "conv_id").sortWithinPartitions("conv_id", "seq")
+        segments = segments.repartition(input_partitions(segments), "conv_id").sortWithinPartitions("conv_id", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Formatter(template)

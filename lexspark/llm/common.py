@@ -43,9 +43,19 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def input_partitions(spark: SparkSession) -> int:
-    """Hash partitions for block exchanges: the session's shuffle partitions, which grow with the input."""
-    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Input of one hash partition; a task holds a few times as much.
+PARTITION_BYTES = 32 << 20
+
+
+def input_partitions(df: DataFrame) -> int:
+    """Hash partitions for what is dealt out of df: as many as its files' size asks for, at least the session's number.
+
+    The size is what Spark knows of the tables read, without running anything; tables of unknown size count nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // PARTITION_BYTES))
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -76,7 +76,7 @@ DOC, BLOCK, COUNTS = 0, 1, 2
 
 def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
     """DOC rows: each document's set (unit, slot, n, digests); COUNTS rows: by unit and partition, how many of each document's shingles others share."""
-    n_parts = input_partitions(docs.sparkSession)
+    n_parts = input_partitions(docs)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 20  # the same when a lost task is run again
@@ -140,7 +140,7 @@ def _shared(sets: DataFrame) -> DataFrame:
             slot = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"unit": pa.array([unit] * len(slot), _I), "slot": slot, "shared": total[slot]})
 
-    n = input_partitions(sets.sparkSession)
+    n = input_partitions(sets)
     return sets.where(f"kind = {COUNTS}").select("unit", "payload").repartition(n, "unit").mapInArrow(add, "unit long, slot long, shared long")
 
 
@@ -175,7 +175,7 @@ def prefix_length(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 def _prefixes(units: DataFrame, percent: int) -> DataFrame:
     """NODE rows: a node's shared shingles and its prefixes under the later orders; ENTRY rows: prefixes under the first."""
-    n_parts = input_partitions(units.sparkSession)
+    n_parts = input_partitions(units)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +277,7 @@ def _memberships(entries: DataFrame) -> DataFrame:
             token, pivot = tokens[-1], pivots[-1]
             yield pa.RecordBatch.from_pydict({"pivot": pivots[other], "node": node[other]})
 
-    dealt = entries.select("token", "rare", "node").repartition(input_partitions(entries.sparkSession), "token")
+    dealt = entries.select("token", "rare", "node").repartition(input_partitions(entries), "token")
     return dealt.sortWithinPartitions("token", "rare", "node").mapInArrow(pairs, "pivot long, node long").distinct()
 
 
@@ -305,7 +305,7 @@ def _tried_with_pivots(members: DataFrame, sets: DataFrame, percent: int, share:
             columns = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], _I), pa.array(columns[1], _I), pa.array(columns[2], pa.bool_())], names=["pivot", "node", "linked"])
 
-    dealt = pivots.unionByName(own).repartition(input_partitions(members.sparkSession), "pivot", "salt")
+    dealt = pivots.unionByName(own).repartition(input_partitions(members), "pivot", "salt")
     return dealt.sortWithinPartitions("pivot", "salt", F.col("node").asc_nulls_first()).mapInArrow(verify, _MEMBERS)
 
 
@@ -380,7 +380,7 @@ def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, p
                             out.append((int(left.node[i]), node))
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], _I), "b": pa.array([y for _, y in out], _I)})
 
-    dealt = lefts.unionByName(rights).repartition(input_partitions(tried.sparkSession), "pivot", "share")
+    dealt = lefts.unionByName(rights).repartition(input_partitions(tried), "pivot", "share")
     return dealt.sortWithinPartitions("pivot", "share", "side").mapInArrow(verify, "a long, b long")
 
 

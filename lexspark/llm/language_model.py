@@ -299,7 +299,7 @@ def score(docs: DataFrame) -> DataFrame:
     they come. Without training tokens every score is that of the uniform floor. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    n_parts, folder = input_partitions(spark), new_folder(spark, "lm-units")
+    n_parts, folder = input_partitions(docs), new_folder(spark, "lm-units")
     words = staged(_count_words(_send_words(docs, folder, n_parts), n_parts), "lm-words")
     sums = words.where(f"kind = {SUMS}").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kept", "types"))).first()
     n, n_kept, types = sums["total"], sums["kept"], sums["types"]

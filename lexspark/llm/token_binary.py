@@ -156,7 +156,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str | None = None, s
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-shards")
-    n = input_partitions(spark)
+    n = input_partitions(docs)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in text_chunks(batches):
@@ -235,5 +235,5 @@ def read_ids(shards: DataFrame) -> DataFrame:
                     }
                 )
 
-    listed = shards.select("bucket", "path").repartition(input_partitions(spark), "path")
+    listed = shards.select("bucket", "path").repartition(input_partitions(shards), "path")
     return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
