@@ -38,7 +38,7 @@ def rows_of(schema: list[tuple[str, pa.DataType]], **columns) -> pa.RecordBatch:
 
 def split_bytes(values: np.ndarray) -> np.ndarray:
     """The lowest bytes of all values, then the next, and so on: sorted gaps pack better that way."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).reshape(-1)
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).reshape(-1)
 
 
 def join_bytes(raw: np.ndarray, kind: str) -> np.ndarray:

@@ -59,14 +59,17 @@ def _read(path: str) -> bytes:
         return source.read()
 
 
-def _blocks(keys: np.ndarray, n_parts: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """For each partition with keys: sorted keys as gaps, and the columns in the same order."""
+def _blocks(keys: np.ndarray, n_parts: int, *columns: np.ndarray, only: tuple[np.ndarray, ...] = ()) -> Iterator[tuple[int, bytes]]:
+    """For each partition with keys: sorted keys as gaps, and the columns in the same order.
+
+    only: flags of keys, and columns of corpus counts that are sent for these keys alone.
+    """
     order, at, _ = by_partition(keys, n_parts)
-    keys, columns = keys[order], [c[order] for c in columns]
+    keys, columns, only = keys[order], [c[order] for c in columns], [c[order] for c in only]
     for p in np.flatnonzero(np.diff(at)).tolist():
         own = slice(at[p], at[p + 1])
         gaps = np.diff(keys[own], prepend=U64(0))
-        yield p, pack(split_bytes(gaps), *(c[own] for c in columns))
+        yield p, pack(split_bytes(gaps), *(c[own] for c in columns), *(_wide(c[own][only[0][own]]) for c in only[1:]))
 
 
 def _unblock(raw: bytes, *kinds: str) -> list[np.ndarray]:
@@ -75,9 +78,19 @@ def _unblock(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
+    """For counts within a unit."""
     return x.astype("<u4")
 
 
+def _wide(x: np.ndarray) -> np.ndarray:
+    """For corpus counts, which may exceed 32 bits; their upper bytes lie together and pack to almost nothing."""
+    return split_bytes(x.astype("<u8"))
+
+
+def _counts(raw: np.ndarray) -> np.ndarray:
+    return join_bytes(raw, "<u8").astype(np.int64)
+
+
 def _send_words(docs: DataFrame, folder: str, n_parts: int) -> DataFrame:
     """HEAD rows (a unit and the file of its tokens) and BLOCK rows (its words with training counts)."""
 
@@ -141,8 +154,8 @@ def _count_words(sent: DataFrame, n_parts: int) -> DataFrame:
         if not heads:
             return
         place, (total, kept), at = _sums_of(keys, totals, kepts)
-        t, k = _narrow(total[place]), _narrow(kept[place])
-        yield rows_of(_ROWS, kind=[ANSWER] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(t[a:b], k[a:b]) for a, b in zip(at, at[1:])])
+        t, k = total[place], kept[place]
+        yield rows_of(_ROWS, kind=[ANSWER] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(_wide(t[a:b]), _wide(k[a:b])) for a, b in zip(at, at[1:])])
         yield rows_of(_ROWS, kind=[SUMS], part=[heads[0][0]], unit=[-1], total=[int(total.sum())], kept=[int(kept.sum())], types=[int((total > 0).sum())])
 
     return sent.repartitionById(n_parts, "part").mapInArrow(run, _SQL)
@@ -159,7 +172,7 @@ class _Unit:
 
     def answer(self, part: int, raw: bytes) -> None:
         own = self._order[self._at[part] : self._at[part + 1]]
-        self.total[own], self.kept[own] = unpack(raw, "<u4", "<u4")
+        self.total[own], self.kept[own] = map(_counts, unpack(raw, "u1", "u1"))
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys; by token: the bigram's place and its context's place (the number of words: START); first tokens' flags."""
@@ -209,10 +222,10 @@ def _send_bigrams(answered: DataFrame, folder: str, n_parts: int) -> DataFrame:
             end = np.searchsorted(unit.words, END)
             of_context = np.append(unit.kept, unit.kept[end])  # texts begin as often as they end
             use = fitted > 0
-            c_context, c_word = np.where(use, of_context[context[one]], 0), np.where(use, unit.kept[unit.local[one]], 0)
-            counts = _write(folder, f"counts-{number}", pack(_narrow(unit.total)))
+            c_context, c_word = of_context[context[one]], unit.kept[unit.local[one]]
+            counts = _write(folder, f"counts-{number}", pack(_wide(unit.total)))
             yield rows_of(_ROWS, kind=[HEAD], part=[number % n_parts], unit=[number], path=[f"{path}\n{counts}"])
-            sent = list(_blocks(keys, n_parts, _narrow(total), _narrow(fitted), _narrow(c_context), _narrow(c_word)))
+            sent = list(_blocks(keys, n_parts, _narrow(total), _narrow(fitted), only=(use, c_context, c_word)))
             yield rows_of(_ROWS, kind=[BLOCK] * len(sent), part=[p for p, _ in sent], unit=[number] * len(sent), payload=[b for _, b in sent])
 
     return answered.where(f"kind IN ({HEAD}, {ANSWER})").repartition(n_parts, "unit").sortWithinPartitions("unit", "kind", "part").mapInArrow(run, _SQL)
@@ -234,19 +247,19 @@ def _count_bigrams(sent: DataFrame, n_parts: int, n_kept: int, n_types: int) ->
             own = batch.filter(pa.array(is_block))
             for part, unit, raw in zip(*(own.column(i).to_pylist() for i in (1, 2, 7))):
                 heads.append((part, unit))
-                blocks.append(_unblock(raw, "<u4", "<u4", "<u4", "<u4"))
+                *columns, context, word = _unblock(raw, "<u4", "<u4", "u1", "u1")
+                blocks.append((*columns, _counts(context), _counts(word)))
         if not heads:
             return
         columns = [list(c) for c in zip(*blocks)]
         place, (total, fitted), at = _sums_of(columns[0], columns[1], columns[2])
-        t = _narrow(total[place])
-        yield rows_of(_ROWS, kind=[ANSWER] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(t[a:b]) for a, b in zip(at, at[1:])])
-        kept = (total - fitted)[place]
+        t = total[place]
+        yield rows_of(_ROWS, kind=[ANSWER] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(_wide(t[a:b])) for a, b in zip(at, at[1:])])
         weight, context, word = (np.concatenate(c).astype(np.float64) for c in columns[2:])
         use = np.flatnonzero(weight)
         if len(use) == 0:
             return
-        weight, context, word, kept = weight[use], context[use], word[use], kept[use]
+        weight, kept = weight[use], (total - fitted)[place[use]]  # context and word are of these alone
         floor = 1 / (n_types + 1)
         high = _steps(kept / np.maximum(context, 1), floor)
         low = _steps(word / max(n_kept, 1), floor)
@@ -315,12 +328,12 @@ def score(docs: DataFrame) -> DataFrame:
         def done() -> pa.RecordBatch:
             tokens, counts = paths.split("\n")
             u = _Unit(_read(tokens), n_parts)
-            (total,) = (x.astype(np.float64) for x in unpack(_read(counts), "<u4"))
+            (total,) = (_counts(x).astype(np.float64) for x in unpack(_read(counts), "u1"))
             keys, place, context, _ = u.bigrams()
             order, at, _ = by_partition(keys, n_parts)
             pair = np.zeros(len(keys))
             for part, raw in answers:
-                pair[order[at[part] : at[part + 1]]] = unpack(raw, "<u4")[0]
+                pair[order[at[part] : at[part + 1]]] = _counts(unpack(raw, "u1")[0])
             c_context = np.append(total, total[np.searchsorted(u.words, END)])[context]
             c_word = total[u.local]
             lam = weights[bucket(c_context)]
