@@ -205,7 +205,7 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
         new_pair[1:] |= o[1:] != o[:-1]
         group = np.cumsum(new_key) - 1
         df = np.empty(len(k), "<u4")
-        df[order] = np.bincount(group, new_pair)[group].astype("<u4")
+        df[order] = np.minimum(np.bincount(group, new_pair), 0xFFFFFFFF)[group].astype("<u4")  # frequencies beyond 32 bits tie
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).tolist()
         yield rows_of(_UNITS, kind=[ENTRY] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(df[a:b]) for a, b in zip(at, at[1:])])
 
