@@ -364,17 +364,26 @@ _ACT = """<akomaNtoso xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0" x
 <temporalData><timeInterval eId="t1" start="#e1" end="#e2"/><timeInterval eId="t2" start="#e2"/></temporalData>
 <proprietary><eli:id_local>%s</eli:id_local></proprietary></meta>
 <preface><docType>LEGGE</docType><docNumber>%s</docNumber><docDate date="2001-01-01"/><docTitle>Act %s</docTitle></preface><body>
-<article eId="art_1" period="#t1"><num>Art. 1</num><paragraph><content><p>First of %s</p></content></paragraph></article>
+<article eId="art_1" period="#t1"><num>Art. 1</num><paragraph><content><p>First of %s.</p></content></paragraph></article>
 <article eId="art_1" period="#t2"><num>Art. 1</num><paragraph><content><p>Now see <ref href="urn:nir:stato:legge:2001-01-01;%s#Art 1">the next</ref></p></content></paragraph></article>
 </body></act></akomaNtoso>"""
 
 
+def _xml_text(c: str) -> F.Column:
+    """Whole text as XML character data: null is empty, characters that XML cannot hold become U+FFFD, CR stays CR."""
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\t\n\r\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]", "\uFFFD")
+    for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        out = F.replace(out, F.lit(raw), F.lit(escaped))
+    return out
+
+
 def acts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members in AKN, one a document: every seventh is base64 of HTML, every fifth shares its neighbour's code."""
+    """Members in AKN, one a document with its whole text: every seventh is base64 of HTML, every fifth shares its neighbour's code."""
     ident = F.col("doc_id").cast("string")
     code = (F.col("doc_id") - F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).cast("string")
-    xml = F.format_string(_ACT, ident, code, ident, F.col("source"), F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 200), (F.col("doc_id") + 1).cast("string"))
-    raw = F.when(F.col("doc_id") % 7 == 0, F.base64(F.encode(F.lit("<html></html>"), "UTF-8"))).otherwise(xml)
+    xml = F.format_string(_ACT, ident, code, ident, F.col("source"), _xml_text("text"), (F.col("doc_id") + 1).cast("string"))
+    page = F.base64(F.encode(F.concat(F.lit("<html>"), _xml_text("text"), F.lit("</html>")), "UTF-8"))
+    raw = F.when(F.col("doc_id") % 7 == 0, F.replace(page, F.lit("\r\n"), F.lit(""))).otherwise(xml)  # Spark breaks base64 into lines
     return _table(spark, sf_dir, "documents").select(F.col("source").alias("collection"), F.lit("V").alias("source_format"), ident.alias("source"), F.encode(raw, "UTF-8").alias("raw"))
 
 
@@ -396,7 +405,7 @@ def validation_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 def akn_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = build.plan(acts(spark, sf_dir))
     kind = F.when(F.col("internal_links") == 1, "internal").otherwise("external")
-    return made.rendered.select("urn", F.col("repo_path").alias("path"), kind.alias("kind"), F.regexp_extract("body", r"Now see (\[the next\]\([^)]*\))", 1).alias("link"))
+    return made.rendered.select("urn", F.col("repo_path").alias("path"), kind.alias("kind"), F.regexp_extract("body", r"\n\nNow see (\[the next\]\([^)\n]*\))\z", 1).alias("link"))
 
 
 @_register(
