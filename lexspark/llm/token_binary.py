@@ -11,6 +11,7 @@ data bytes; crc32 of all before it, uint32.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -109,26 +110,81 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_caches: dict[str, PieceTable] = {}
+_caches: dict[str, tuple[PieceTable, AddedTokens]] = {}
 
 
-def _library(path: str) -> PieceTable:
+class AddedTokens:
+    """The tokenizer's added tokens, which the library takes out of a text before it looks at anything else.
+
+    They are found leftmost first, the longest of those that begin together. Tokens that take white space beside
+    them, stand only as whole words or are sought in normalised text are left to the library: texts that hold one
+    go whole to its encode().
+    """
+
+    def __init__(self, tokenizer) -> None:
+        added = tokenizer.get_added_tokens_decoder().items()
+        self.ids = {t.content.encode(): i for i, t in added if t.content}
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for _, t in added)
+        self.tokenizer = tokenizer
+        self.pattern = re.compile(b"|".join(re.escape(t) for t in sorted(self.ids, key=len, reverse=True)))
+
+    def holders(self, raw: bytes, offs: list[int]) -> list[int]:
+        """Which texts of a chunk hold an added token."""
+        if not any(t in raw for t in self.ids):
+            return []
+        return [i for i, (a, b) in enumerate(zip(offs, offs[1:])) if self.pattern.search(raw, a, b)]
+
+
+def _library(path: str) -> tuple[PieceTable, AddedTokens]:
     if path not in _caches:
         from tokenizers import Tokenizer
 
-        tokenize, letters = Tokenizer.from_file(path).model.tokenize, byte_letters()
-        _caches[path] = PieceTable(lambda pieces: [[t.id for t in tokenize(p.decode("latin-1").translate(letters))] for p in pieces], most=1_000_000)
+        tokenizer = Tokenizer.from_file(path)
+        tokenize, letters = tokenizer.model.tokenize, byte_letters()
+        table = PieceTable(lambda pieces: [[t.id for t in tokenize(p.decode("latin-1").translate(letters))] for p in pieces], most=1_000_000)
+        _caches[path] = (table, AddedTokens(tokenizer))
     return _caches[path]
 
 
 def library_ids(buf: np.ndarray, offs: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """The tokenizers library's ids of a chunk of texts, and the number of ids of each text.
 
-    A byte-level tokenizer encodes each pre-token for itself, so the library's model is given every pre-token
-    that this worker has not met before, once. Strings of special tokens are ordinary text.
+    A byte-level tokenizer takes added tokens out of a text, splits each part between them into pre-tokens and
+    encodes each pre-token for itself, so the library's model is given every pre-token that this worker has not
+    met before, once.
     """
+    table, added = _library(path)
+    raw, at = buf.tobytes(), offs.tolist()
+    held = added.holders(raw, at)
+    if not held:
+        return _piece_ids(table, buf, offs)
+    if not added.plain:
+        ids, sizes = _piece_ids(table, buf, offs)
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i in held:
+            parts[i] = np.array(added.tokenizer.encode(raw[at[i] : at[i + 1]].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+    spans = [(m.start(), m.end(), added.ids[m[0]]) for i in held for m in added.pattern.finditer(raw, at[i], at[i + 1])]
+    begin, end, own = (np.array(x, np.int64) for x in zip(*spans))
+    # Cuts at texts and at both ends of added tokens; the parts that are added tokens get one id, the others' as they are.
+    cuts = np.unique(np.concatenate([offs, begin, end]))
+    part = np.searchsorted(cuts, begin)
+    ids, sizes = _piece_ids(table, buf, cuts)
+    first = np.cumsum(sizes) - sizes
+    gone = np.zeros(len(ids) + 1, np.int64)
+    np.add.at(gone, first[part], 1)
+    np.add.at(gone, first[part] + sizes[part], -1)
+    kept = np.cumsum(gone[:-1]) == 0
+    sizes[part] = 0
+    place = (np.cumsum(sizes) - sizes)[part]
+    sizes[part] = 1
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    return np.insert(ids[kept], place, own.astype(ids.dtype)), np.diff(before[np.searchsorted(cuts, offs)])
+
+
+def _piece_ids(table: PieceTable, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bounds, before = chunk_pieces(buf, offs)
-    ids, n = _library(path).lookup(buf, bounds)
+    ids, n = table.lookup(buf, bounds)
     return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[before])
 
 
