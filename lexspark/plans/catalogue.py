@@ -114,10 +114,16 @@ def max_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two versions of the documents: one without every fifth row, and one without every seventh and with some texts changed."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("atti/"), F.col("doc_id").cast("string")).alias("path"), "text")
-    before = docs.where("doc_id % 5 != 0").select("path", T.sha256_text("text").alias("sha256"))
-    after = docs.where("doc_id % 7 != 0").select("path", T.sha256_text(F.when(F.col("doc_id") % 11 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("sha256"))
+    """Two versions of the documents, every row in at least one: every fifth is added, every seventh removed, every eleventh of the later version changed.
+
+    What is both a fifth and a seventh stays as it is, as do rows without an id, whose path is that of their text.
+    """
+    path = F.concat(F.lit("atti/"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null-"), F.coalesce(T.sha256_text("text"), F.lit("null")))))
+    stays = F.coalesce(F.col("doc_id") % 35 == 0, F.lit(True))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text", stays.alias("stays"))
+    before = docs.where("stays OR doc_id % 5 != 0").select("path", T.sha256_text("text").alias("sha256"))
+    changed = ~F.col("stays") & (F.col("doc_id") % 11 == 0)
+    after = docs.where("stays OR doc_id % 7 != 0").select("path", T.sha256_text(F.when(changed, F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("sha256"))
     return before, after
 
 
