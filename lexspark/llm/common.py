@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,9 +21,15 @@ _MASK = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local master gets a temporary folder, as driver and executors are one process; a cluster
+    is an error, as a folder of one machine would lose what others wrote.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexspark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -43,19 +51,50 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Input of one hash partition; a task holds a few times as much.
+#: Input of one hash partition, at least; a task holds a few times as much.
 PARTITION_BYTES = 32 << 20
+#: Input behind each block that a unit of documents sends to a hash partition, at least.
+BLOCK_BYTES = 4 << 10
 
 
 def input_partitions(df: DataFrame) -> int:
     """Hash partitions for what is dealt out of df: as many as its files' size asks for, at least the session's number.
 
-    The size is what Spark knows of the tables read, without running anything; tables of unknown size count nothing.
+    Units of documents send a block to each partition, so units times partitions must grow no faster than the input:
+    partitions are of PARTITION_BYTES, and beyond 256 GB of input they grow, as units do, with its square root
+    (64 MB at 1 TB, 640 MB at 100 TB). The size is what Spark knows of the tables read, without running anything;
+    tables of unknown size count nothing.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     known = sum(x for x in sizes if x < 1 << 60)
-    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // PARTITION_BYTES))
+    each = max(PARTITION_BYTES, math.isqrt(known * BLOCK_BYTES))
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // each))
+
+
+def unit_bytes(n_parts: int, least: int = 1 << 21) -> int:
+    """Text of one unit: enough for BLOCK_BYTES in each of its blocks, so the number of blocks follows the input alone."""
+    return max(least, n_parts * BLOCK_BYTES)
+
+
+def joined(batches: Iterator[pa.RecordBatch], least_bytes: int, most_rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of least_bytes or more (the last: what is left), but not more than most_rows if no input batch has more."""
+    held: list[pa.RecordBatch] = []
+
+    def together() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if held and sum(b.num_rows for b in held) + batch.num_rows > most_rows:
+            yield together()
+            held = []
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= least_bytes:
+            yield together()
+            held = []
+    if held:
+        yield together()
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -138,8 +177,3 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np
     terms = codes.take(buf[first:])
     terms *= powers(longest).take(at)
     return mixed(np.add.reduceat(terms, starts - first) + lens * U64(0xA24BAED4963EE407))
-
-
-def hash_bytes(value: bytes) -> int:
-    buf = np.frombuffer(value, np.uint8)
-    return int(span_hashes(buf, np.array([0]), np.array([len(buf)]))[0])
