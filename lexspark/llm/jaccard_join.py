@@ -1,17 +1,20 @@
 """N-gram Jaccard join by multiple global orders, and the components that its links make.
 
 1. Equal sets of shingles become one node, found by size and a 128-bit digest.
-2. A set can only link if most of its shingles occur elsewhere too. Units of documents send their shingles as
-   sorted blocks to hash partitions, which answer how many of each document's shingles others share. Sets
-   with too few are done. (Blocks hold 32 bits of a hash there; a clash only leaves a set in.)
-3. For the rest, exact document frequencies come from a second exchange of blocks. Every global order sorts
-   shingles by frequency, rare first, then by an own hash; two sets that link share a shingle within their
-   prefixes under every order. The first order's prefixes make buckets; pairs must also share one in the
-   prefixes of the other orders before they are verified exactly.
+2. A set can only link if most of its shingles occur elsewhere too. Units of documents send their distinct shingles,
+   each once, as sorted blocks to hash partitions, which answer how many of each document's shingles others share;
+   what several documents of a unit hold is counted there. Sets with too few are done. (Blocks hold 32 bits of a
+   hash there; a clash only leaves a set in.)
+3. For the rest, frequencies come from a second exchange of blocks, again one entry of a unit for each shingle. There
+   are three global orders: by frequency, rare first; and the same after each half of all shingles, halved by hash,
+   has gone first. Two sets that link share a shingle within their prefixes under every order. The first order's
+   prefixes make buckets; pairs must also share one in the prefixes of the other orders, so in either half, before
+   they are verified exactly.
 4. Each bucket has a pivot, and its members join the pivot's group. Members are first tried with their pivot. Then
    those in another component than their pivot are tried with all members of the group in other components, so
-   every pair that shares a bucket is tried or already connected. Sets travel once to a group (or to each of its
-   shares), pairs are never rows, and a large group of copies isn't squared.
+   every pair that shares a bucket is tried or already connected. A group's tries are dealt out as a grid of bounded
+   cells, pairs are never rows, and a large group of copies isn't squared. Joins on hot shingles and hot nodes are
+   plain joins, which adaptive execution splits where a key is skewed.
 """
 
 from __future__ import annotations
@@ -25,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm.blocks import by_partition, pack, rows_of, unpack
-from lexspark.llm.common import LOWER, U64, input_partitions, mixed, span_hashes, staged, text_chunks, word_spans
+from lexspark.llm.common import LOWER, U64, input_partitions, joined, mixed, span_hashes, staged, text_chunks, unit_bytes, word_spans
 
 WORDS = 4
 PERCENT = 85
 ORDERS = 3
-#: A list of candidate sets of at most so many rows (24 bytes each) is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
+#: The list of candidate sets is broadcast if it has at most so many bytes as a hash table; a larger one is shuffled.
+BROADCAST_BYTES = 64 << 20
+#: Of the list: key and value rows of 24 and 16 bytes, their headers, and two slots of 16 bytes in the table.
+BROADCAST_ROW_BYTES = 128
 _MULTIPLIERS = [U64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -77,22 +82,27 @@ DOC, BLOCK, COUNTS = 0, 1, 2
 def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
     """DOC rows: each document's set (unit, slot, n, digests); COUNTS rows: by unit and partition, how many of each document's shingles others share."""
     n_parts = input_partitions(docs)
+    size = unit_bytes(n_parts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 20  # the same when a lost task is run again
-        for rows, buf, offs in text_chunks(batches):
+        for rows, buf, offs in text_chunks(joined(batches, size), most_bytes=size):
             sets, cuts = shingles(buf, offs, words)
             one, two = digests(sets, cuts)
             m = rows.num_rows
             yield rows_of(_SETS, kind=[DOC] * m, part=np.arange(m) % n_parts, unit=[unit] * m, slot=np.arange(m), doc_id=rows.column(0), text_hash=rows.column(1), n=np.diff(cuts), k1=one, k2=two)
             order, at, _ = by_partition(sets, n_parts)
-            short = (sets[order] >> U64(32)).astype("<u4")
-            doc = np.repeat(np.arange(m, dtype="<u4"), np.diff(cuts))[order]
-            if m <= 0x10000:
-                doc = doc.astype("<u2")
+            key, doc = sets[order], np.repeat(np.arange(m), np.diff(cuts))[order]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            times = np.diff(np.append(starts, len(key)))
+            # What several documents of the unit share is known here; others only need to know that it exists.
+            here = np.bincount(doc[np.repeat(times > 1, times)], minlength=m)
+            yield rows_of(_SETS, kind=[COUNTS], part=[unit % n_parts], unit=[unit], payload=[pack(here.astype("<u4"))])
+            short, who = (key[starts] >> U64(32)).astype("<u4"), np.where(times > 1, 0, doc[starts] + 1).astype("<u4" if m >= 0xFFFF else "<u2")
+            at = np.searchsorted(starts, at)
             full = np.flatnonzero(np.diff(at)).tolist()
-            blocks = [pack(np.diff(short[at[p] : at[p + 1]], prepend=np.uint32(0)), doc[at[p] : at[p + 1]]) for p in full]
-            yield rows_of(_SETS, kind=[BLOCK] * len(full), part=full, unit=[unit] * len(full), n=[doc.itemsize] * len(full), payload=blocks)
+            blocks = [pack(np.diff(short[at[p] : at[p + 1]], prepend=np.uint32(0)), who[at[p] : at[p + 1]]) for p in full]
+            yield rows_of(_SETS, kind=[BLOCK] * len(full), part=full, unit=[unit] * len(full), n=[who.itemsize] * len(full), payload=blocks)
             unit += 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +112,10 @@ def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
             if not is_block.all():
                 yield batch.filter(pa.array(~is_block))
             for unit, width, raw in zip(*(batch.filter(pa.array(is_block)).column(i).to_pylist() for i in (2, 6, 9))):
-                gaps, doc = unpack(raw, "<u4", f"<u{width}")
+                gaps, who = unpack(raw, "<u4", f"<u{width}")
                 units.append(unit)
                 shorts.append(np.cumsum(gaps, dtype=np.uint32))
-                docs_of.append(doc.astype(np.uint32))
+                docs_of.append(who)
         if not units:
             return
         keys, sizes = np.concatenate(shorts), np.array(list(map(len, shorts)))
@@ -116,7 +126,7 @@ def _sets_and_shares(docs: DataFrame, words: int) -> DataFrame:
         shared[order[1:][same]] = True
         shared[order[:-1][same]] = True
         ends = np.cumsum(sizes)
-        out = [np.bincount(doc[shared[end - size : end]]).astype("<u4") for doc, end, size in zip(docs_of, ends.tolist(), sizes.tolist())]
+        out = [np.bincount(who[shared[end - size : end] & (who > 0)].astype(np.int64) - 1).astype("<u4") for who, end, size in zip(docs_of, ends.tolist(), sizes.tolist())]
         yield rows_of(_SETS, kind=[COUNTS] * len(units), part=[0] * len(units), unit=units, payload=[pack(c) for c in out])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
@@ -152,15 +162,17 @@ NODE, ENTRY = 0, 1
 
 
 def _candidate_units(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The candidates' sets, some MB of text a row: nodes, offsets and shingles."""
-    few = wanted.count() <= BROADCAST_ROWS
+    """The candidates' sets, some MB of text a row: nodes, offsets and shingles. wanted: node, doc_id, text_hash."""
+    few = wanted.count() * BROADCAST_ROW_BYTES <= BROADCAST_BYTES
+    size = unit_bytes(input_partitions(docs))
+    wanted = wanted.select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    key = texts["doc_id"].eqNullSafe(F.col("rep.doc_id")) & (texts["text_hash"] == F.col("rep.text_hash"))
+    key = texts["doc_id"].eqNullSafe(F.col("of_id")) & (texts["text_hash"] == F.col("of_hash"))
     own = texts.join(F.broadcast(wanted) if few else wanted, key).select("node", "text")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 20
-        for rows, buf, offs in text_chunks(batches):
+        for rows, buf, offs in text_chunks(joined(batches, size), most_bytes=size):
             sets, cuts = shingles(buf, offs, words)
             yield rows_of(_UNITS, kind=[NODE], part=[-1], unit=[unit], payload=[pack(np.asarray(rows.column(0), "<i8"), cuts.astype("<i8"), sets.astype("<u8"))])
             unit += 1
@@ -173,39 +185,59 @@ def prefix_length(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def ordered(sets: np.ndarray, df: np.ndarray, doc: np.ndarray, order: int) -> np.ndarray:
+    """Places of all members by document, and within each by a global order.
+
+    Order 0 takes rare shingles first, order 1 those of one half of all shingles (by hash) before the other's,
+    order 2 the other way round, rare ones first in either half. Ties go by an own hash.
+    """
+    own = mixed(sets ^ U64(0xA0761D6478BD642F * (order + 1) & 0xFFFFFFFFFFFFFFFF))
+    half = mixed(sets + U64(0xE7037ED1A0B428DB)) & U64(1)
+    return np.lexsort((own, df, doc) if order == 0 else (own, df, half ^ U64(order - 1), doc))
+
+
+def prefixes(sets: np.ndarray, cuts: np.ndarray, df: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order: the shared members of all sets' prefixes, and whose they are."""
+    n = np.diff(cuts)
+    doc = np.repeat(np.arange(len(n)), n)
+    length = prefix_length(n, percent)
+    for k in range(ORDERS):
+        rank = ordered(sets, df, doc, k)
+        first = (np.arange(len(rank)) - cuts[:-1][doc] < length[doc]) & (df > 1)[rank]
+        yield sets[rank][first], doc[first]
+
+
 def _prefixes(units: DataFrame, percent: int) -> DataFrame:
     """NODE rows: a node's shared shingles and its prefixes under the later orders; ENTRY rows: prefixes under the first."""
     n_parts = input_partitions(units)
 
+    def dealt(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct shingles by partition, how many sets of the unit have each, cuts, and each member's place among them."""
+        keys, inverse, times = np.unique(sets, return_inverse=True, return_counts=True)
+        order, at, _ = by_partition(keys, n_parts)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        return keys[order], times[order], at, place[inverse]
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, raw in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                nodes, cuts, sets = unpack(raw, "<i8", "<i8", "<u8")
-                order, at, _ = by_partition(sets, n_parts)
-                owner = np.repeat(nodes, np.diff(cuts))[order]
+                keys, times, at, _ = dealt(unpack(raw, "<i8", "<i8", "<u8")[2])
                 full = np.flatnonzero(np.diff(at)).tolist()
-                yield rows_of(_UNITS, kind=[ENTRY] * len(full), part=full, unit=[unit] * len(full), payload=[pack(sets[order][at[p] : at[p + 1]], owner[at[p] : at[p + 1]]) for p in full])
+                yield rows_of(_UNITS, kind=[ENTRY] * len(full), part=full, unit=[unit] * len(full), payload=[pack(keys[at[p] : at[p + 1]], times[at[p] : at[p + 1]].astype("<u4")) for p in full])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, keys, owners = [], [], []
+        heads, keys, counts = [], [], []
         for batch in batches:
             for part, unit, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                own, who = unpack(raw, "<u8", "<i8")
+                own, times = unpack(raw, "<u8", "<u4")
                 heads.append((part, unit))
                 keys.append(own)
-                owners.append(who)
+                counts.append(times)
         if not heads:
             return
-        key, owner = np.concatenate(keys), np.concatenate(owners)
-        order = np.lexsort((owner, key))
-        k, o = key[order], owner[order]
-        new_key = np.ones(len(k), bool)
-        new_key[1:] = k[1:] != k[:-1]
-        new_pair = new_key.copy()  # rows of a document that repeats count once
-        new_pair[1:] |= o[1:] != o[:-1]
-        group = np.cumsum(new_key) - 1
-        df = np.empty(len(k), "<u4")
-        df[order] = np.minimum(np.bincount(group, new_pair), 0xFFFFFFFF)[group].astype("<u4")  # frequencies beyond 32 bits tie
+        _, of = np.unique(np.concatenate(keys), return_inverse=True)
+        df = np.minimum(np.bincount(of, np.concatenate(counts))[of], 0xFFFFFFFF).astype("<u4")  # frequencies beyond 32 bits tie
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).tolist()
         yield rows_of(_UNITS, kind=[ENTRY] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(df[a:b]) for a, b in zip(at, at[1:])])
 
@@ -213,29 +245,19 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
         own: list = []
 
         def done() -> Iterator[pa.RecordBatch]:
-            nodes, cuts, sets, df, order, at = own
-            everyone = np.empty(len(df), np.int64)
-            everyone[order] = df
-            n = np.diff(cuts)
-            doc = np.repeat(np.arange(len(nodes)), n)
-            length = prefix_length(n, percent)
-            shared = everyone > 1
-            lists, entry = [], None
-            for k in range(ORDERS):
-                rank = np.lexsort((mixed(sets ^ U64(0xA0761D6478BD642F * (k + 1) & 0xFFFFFFFFFFFFFFFF)), everyone, doc))
-                pos = np.arange(len(rank)) - cuts[:-1][doc]
-                first = (pos < length[doc]) & shared[rank]
-                if k == 0:
-                    rare = length - np.bincount(doc[first], minlength=len(nodes))
-                    entry = sets[rank][first], doc[first]
-                else:
-                    chosen, of = sets[rank][first], doc[first]
-                    again = np.lexsort((chosen, of))
-                    lists.append((chosen[again], np.searchsorted(of[again], np.arange(len(nodes) + 1))))
+            nodes, cuts, sets, df, _, place = own
+            df = df[place]
+            doc = np.repeat(np.arange(len(nodes)), np.diff(cuts))
+            (token, of), *later = prefixes(sets, cuts, df, percent)
+            rare = prefix_length(np.diff(cuts), percent) - np.bincount(of, minlength=len(nodes))
+            lists = []
+            for chosen, whose in later:
+                again = np.lexsort((chosen, whose))
+                lists.append((chosen[again], np.searchsorted(whose[again], np.arange(len(nodes) + 1))))
+            shared = df > 1
             kept, kept_at = sets[shared], np.searchsorted(doc[shared], np.arange(len(nodes) + 1))
             payload = [pack(kept[kept_at[i] : kept_at[i + 1]], *(t[a[i] : a[i + 1]] for t, a in lists)) for i in range(len(nodes))]
-            yield rows_of(_NODES, kind=[NODE] * len(nodes), node=nodes, n=n, payload=payload)
-            token, of = entry
+            yield rows_of(_NODES, kind=[NODE] * len(nodes), node=nodes, n=np.diff(cuts), payload=payload)
             yield rows_of(_NODES, kind=[ENTRY] * len(token), token=token.view(np.int64), node=nodes[of], rare=rare[of])
 
         for batch in batches:
@@ -244,10 +266,10 @@ def _prefixes(units: DataFrame, percent: int) -> DataFrame:
                     if own:
                         yield from done()
                     nodes, cuts, sets = unpack(raw, "<i8", "<i8", "<u8")
-                    order, at, _ = by_partition(sets, n_parts)
-                    own = [nodes, cuts, sets, np.ones(len(sets), np.int64), order, at]
+                    keys, _, at, place = dealt(sets)
+                    own = [nodes, cuts, sets, np.ones(len(keys), np.int64), at, place]
                 else:
-                    own[3][own[5][part] : own[5][part + 1]] = unpack(raw, "<u4")[0]
+                    own[3][own[4][part] : own[4][part + 1]] = unpack(raw, "<u4")[0]
         if own:
             yield from done()
 
@@ -260,25 +282,12 @@ _MEMBERS = "pivot long, node long, linked boolean"
 
 
 def _memberships(entries: DataFrame) -> DataFrame:
-    """pivot, node: each bucket's pivot, the member with the fewest shingles of its own, with each other member."""
+    """pivot, node: each bucket's pivot, the member with the fewest shingles of its own, with each other member.
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = pivot = None
-        for batch in batches:
-            tokens, node = np.asarray(batch.column(0)), np.asarray(batch.column(2))
-            if len(tokens) == 0:
-                continue
-            first = np.ones(len(tokens), bool)
-            first[1:] = tokens[1:] != tokens[:-1]
-            first[0] = token is None or tokens[0] != token
-            lead = np.maximum.accumulate(np.where(first, np.arange(len(tokens)), -1))
-            pivots = np.where(lead >= 0, node[np.maximum(lead, 0)], pivot if pivot is not None else 0)
-            other = pivots != node
-            token, pivot = tokens[-1], pivots[-1]
-            yield pa.RecordBatch.from_pydict({"pivot": pivots[other], "node": node[other]})
-
-    dealt = entries.select("token", "rare", "node").repartition(input_partitions(entries), "token")
-    return dealt.sortWithinPartitions("token", "rare", "node").mapInArrow(pairs, "pivot long, node long").distinct()
+    Pivots are found by partial sums, so a bucket of any size is one row of each task there.
+    """
+    pivots = entries.groupBy("token").agg(F.min(F.struct("rare", "node")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", F.col("least.node").alias("pivot"))
+    return entries.join(pivots, "token").where("node != pivot").select("pivot", "node").distinct()
 
 
 def _tried_with_pivots(members: DataFrame, sets: DataFrame, percent: int, share: int = 256) -> DataFrame:
@@ -330,20 +339,24 @@ class _Left:
         return np.bincount(of[at], minlength=len(self.node))
 
 
-def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, share: int = 250_000) -> DataFrame:
+def _tried_within_groups(tried: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, side: int = 512) -> DataFrame:
     """a, b: links between components so far, as many in a task as connect what it has seen.
 
     In each group the members outside their pivot's component (left) are tried with all members in other components
-    than theirs (right). Left rows are dealt into shares of about `share` tries; right rows go to every share.
+    than theirs (right). Left and right rows are dealt into shares of about `side` rows each, and every left share
+    meets every right one in a cell, so no cell is larger whatever the group is.
     """
     label = lambda name: F.coalesce(F.col(name), F.col(name[2:]))
     known = tried.join(labels.select(F.col("node"), F.col("label").alias("l_node")), "node", "left").join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("l_pivot")), "pivot", "left")
     rows = known.select("pivot", "node", label("l_node").alias("label"), (label("l_node") != label("l_pivot")).alias("left"))
     groups = rows.groupBy("pivot").agg(F.count_if("left").alias("n_left"), F.count(F.lit(1)).alias("n_all")).where("n_left > 0 AND n_all > 1")
-    shares = groups.select("pivot", F.ceil(F.col("n_left") * F.col("n_all") / share).cast("int").alias("shares"))
+    shares = groups.select("pivot", *[F.ceil(F.col(n) / side).cast("long").alias(c) for n, c in (("n_left", "n_rows"), ("n_all", "n_columns"))])
     open_ = rows.join(shares, "pivot").join(sets, "node")
-    lefts = open_.where("left").select("pivot", F.pmod(F.hash("node"), F.col("shares")).alias("share"), F.lit(0).alias("side"), "node", "n", "label", "payload")
-    rights = open_.select("pivot", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(1).alias("side"), "node", "n", "label", "payload")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    placed = lambda c: F.pmod(F.hash("node"), F.col(c))
+    share = (F.col("row") * F.col("n_columns") + F.col("column")).alias("share")
+    lefts = open_.where("left").withColumns({"row": placed("n_rows"), "column": every("n_columns")}).select("pivot", share, F.lit(0).alias("side"), "node", "n", "label", "payload")
+    rights = open_.withColumns({"row": every("n_rows"), "column": placed("n_columns")}).select("pivot", share, F.lit(1).alias("side"), "node", "n", "label", "payload")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, left = None, [], None
@@ -426,7 +439,7 @@ def join_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     filled = rows.where("n > 0").join(_shared(sets), ["unit", "slot"], "left")
     rep = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "text_hash")
     groups = staged(filled.groupBy("n", "k1", "k2").agg(F.min("row").alias("node"), F.min(rep).alias("rep"), F.max("shared").alias("shared")), "jaccard-groups")
-    wanted = groups.where(f"100 * coalesce(shared, 0) >= {percent} * n").select("node", "rep")
+    wanted = groups.where(f"100 * coalesce(shared, 0) >= {percent} * n").select("node", "rep.doc_id", "rep.text_hash")
     nodes = _prefixes(_candidate_units(docs, wanted, words), percent)
     payloads = nodes.where(f"kind = {NODE}").select("node", "n", "payload").dropDuplicates(["node"])
     entries = nodes.where(f"kind = {ENTRY}").select("token", "rare", "node")
@@ -448,9 +461,14 @@ def join_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 def first_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component (join_groups says which), columns as they are.
 
-    Rows are found by doc_id and a hash of the text; rows that repeat in both stay once, also without words.
+    Rows are found by doc_id and a hash of the text; rows that repeat in both stay once, also without words. What
+    goes, and the few rows that repeat, are looked up; where these lists are small, texts aren't shuffled.
     """
-    keep = join_groups(docs, words, percent).where("first").select(F.col("doc_id").cast("string").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__hash": F.xxhash64("text")})
-    wanted = keep.withColumn("__id", F.coalesce("__id", F.lit("")))
-    return keyed.join(wanted, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    marks = [F.col("doc_id").cast("string"), F.xxhash64("text")]
+    of = lambda df: df.select(F.col("doc_id").cast("string").alias("__id"), F.col("text_hash").alias("__hash"), "first")
+    listed = staged(of(join_groups(docs, words, percent)).groupBy("__id", "__hash").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n")).where("NOT first OR n > 1"), "jaccard-gone")
+    match = lambda kept: marks[0].eqNullSafe(kept["__id"]) & (marks[1] == kept["__hash"])
+    repeated = listed.where("first")
+    once = docs.join(listed, match(listed), "left_anti")
+    again = docs.join(repeated, match(repeated), "left_semi").withColumns({"__id": F.coalesce(marks[0], F.lit("")), "__hash": marks[1]}).dropDuplicates(["__id", "__hash"])
+    return once.unionByName(again.select(*docs.columns))
