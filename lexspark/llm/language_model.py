@@ -3,11 +3,13 @@
 P(w | u) mixes c(u, w) / c(u), c(w) / N and 1 / (V + 1). The weights depend on how often the context u was seen,
 by powers of two, and are learned by expectation-maximisation on counts that were held out: a seventh of the
 training documents is left out of the counts, and its bigrams are what the weights are fitted to. The final
-counts take all training documents.
+counts take all training documents. Held-out bigrams of equal counts (of the bigram, its context and its word) are
+one row; these rows stay a table, and each step of EM is one sum over it by bucket, which is all that reaches the driver.
 
 All counts are exact and distributed. Units of documents send each hash partition the words, then the bigrams,
 that they hold, once, in sorted blocks, and get the corpus counts of these back in the same order; so what travels
-is the distinct n-grams of units, and a very common word or pair is one entry of each unit.
+is the distinct n-grams of units, and a very common word or pair is one entry of each unit. Units grow with the
+number of partitions (common.unit_bytes), so blocks keep their size at any size of input.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm.blocks import by_partition, join_bytes, pack, rows_of, split_bytes, unpack
-from lexspark.llm.common import LOWER, U64, input_partitions, mixed, new_folder, span_hashes, staged, text_chunks, word_spans
+from lexspark.llm.common import LOWER, U64, input_partitions, joined, mixed, new_folder, span_hashes, staged, text_chunks, unit_bytes, word_spans
 
 FOLDS = 7
 TEST_FOLD = 2
@@ -31,9 +33,11 @@ WEIGHT_FOLD = 3
 UNIT_BYTES = 1 << 22
 END = mixed(np.array([0xE7D], U64))[0]
 START = mixed(np.array([0x57A27], U64))[0]
-#: Resolution of the log ratios that the weights are fitted to.
-RATIO_STEP = 0.1
-MOST_BUCKETS = 40
+#: 0 and one for each power of two of a 64-bit count.
+BUCKETS = 64
+#: Where EM starts: bigram, word, floor.
+START_WEIGHTS = (0.3, 0.6, 0.1)
+EM_ROUNDS = 20
 
 _I, _B = pa.int64(), pa.binary()
 _ROWS = [("kind", pa.int32()), ("part", pa.int32()), ("unit", _I), ("path", pa.string()), ("total", _I), ("kept", _I), ("types", _I), ("payload", _B)]
@@ -93,10 +97,11 @@ def _counts(raw: np.ndarray) -> np.ndarray:
 
 def _send_words(docs: DataFrame, folder: str, n_parts: int) -> DataFrame:
     """HEAD rows (a unit and the file of its tokens) and BLOCK rows (its words with training counts)."""
+    size = unit_bytes(n_parts, UNIT_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = TaskContext.get().partitionId() << 20  # the same when a lost task is run again
-        for rows, buf, offs in text_chunks(batches, most_bytes=UNIT_BYTES):
+        for rows, buf, offs in text_chunks(joined(batches, size), most_bytes=size):
             buf = LOWER[buf]
             starts, ends, before = word_spans(buf, offs)
             m, n_words = rows.num_rows, np.diff(before)
@@ -231,11 +236,12 @@ def _send_bigrams(answered: DataFrame, folder: str, n_parts: int) -> DataFrame:
     return answered.where(f"kind IN ({HEAD}, {ANSWER})").repartition(n_parts, "unit").sortWithinPartitions("unit", "kind", "part").mapInArrow(run, _SQL)
 
 
-def _count_bigrams(sent: DataFrame, n_parts: int, n_kept: int, n_types: int) -> DataFrame:
+def _count_bigrams(sent: DataFrame, n_parts: int) -> DataFrame:
     """HEAD rows, ANSWER rows (corpus counts of a unit's bigrams), and SUMS rows: what the weights are fitted to.
 
-    In SUMS rows, part is the bucket of the context's count, unit and total are log ratios of the bigram's and the
-    word's share to the floor in steps (-1: never seen), and kept is how many tokens have these.
+    In SUMS rows, part is the bucket of the context's count, unit, total and types are the kept counts of bigram,
+    context and word, and kept is how many held-out tokens have these. Where the bigram's is 0, the context's only
+    matters by its bucket and is written as 0.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,59 +261,60 @@ def _count_bigrams(sent: DataFrame, n_parts: int, n_kept: int, n_types: int) ->
         place, (total, fitted), at = _sums_of(columns[0], columns[1], columns[2])
         t = total[place]
         yield rows_of(_ROWS, kind=[ANSWER] * len(heads), part=[p for p, _ in heads], unit=[u for _, u in heads], payload=[pack(_wide(t[a:b])) for a, b in zip(at, at[1:])])
-        weight, context, word = (np.concatenate(c).astype(np.float64) for c in columns[2:])
+        weight, context, word = (np.concatenate(c).astype(np.int64) for c in columns[2:])
         use = np.flatnonzero(weight)
         if len(use) == 0:
             return
         weight, kept = weight[use], (total - fitted)[place[use]]  # context and word are of these alone
-        floor = 1 / (n_types + 1)
-        high = _steps(kept / np.maximum(context, 1), floor)
-        low = _steps(word / max(n_kept, 1), floor)
-        cells, of = np.unique(np.stack([bucket(context), high, low]), axis=1, return_inverse=True)
-        sums = np.bincount(of.reshape(-1), weight)
-        m = cells.shape[1]
-        yield rows_of(_ROWS, kind=[SUMS] * m, part=cells[0], unit=cells[1], total=cells[2], kept=sums.astype(np.int64))
+        cells = np.stack([bucket(context), kept, np.where(kept > 0, context, 0), word])
+        order = np.lexsort(cells)
+        cells = cells[:, order]
+        new = np.append(True, (cells[:, 1:] != cells[:, :-1]).any(0))
+        sums = np.add.reduceat(weight[order], np.flatnonzero(new))
+        of, bigram, context, word = cells[:, new]
+        yield rows_of(_ROWS, kind=[SUMS] * len(of), part=of, unit=bigram, total=context, types=word, kept=sums)
 
     return sent.repartitionById(n_parts, "part").mapInArrow(run, _SQL)
 
 
-def _steps(share: np.ndarray, floor: float) -> np.ndarray:
-    with np.errstate(divide="ignore"):
-        ratio = np.log(share / floor) / RATIO_STEP
-    return np.where(share > 0, np.maximum(np.round(ratio), -1_000) + 1_000, -1).astype(np.int64)
-
-
 def bucket(context: np.ndarray) -> np.ndarray:
     """0 for a context never seen, else one more than the power of two below its count."""
-    return np.minimum(np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, 0), MOST_BUCKETS - 1).astype(np.int64)
+    return np.where(context > 0, np.frexp(np.maximum(context, 1).astype(np.float64))[1], 0).astype(np.int64)
 
 
-def fit_weights(cells: list[tuple[int, int, int, int]], rounds: int = 40) -> np.ndarray:
-    """Weights (bigram, unigram, floor) by bucket, from cells of bucket, bigram step, unigram step and tokens.
+def fit_weights(cells: DataFrame, n_kept: int, n_types: int, rounds: int = EM_ROUNDS) -> np.ndarray:
+    """Weights (bigram, word, floor) by bucket, from cells (bucket, bigram, context, word, tokens) of held-out tokens.
 
-    A bucket without tokens has the weights of the nearest one below that has some, or the start's.
+    Expectation-maximisation until no weight moves by 1e-5, or `rounds` steps; a hundredth of a token for each part
+    keeps weights above 0. A bucket without tokens has the weights of the nearest one below that has some, or the
+    start's; contexts never seen have no bigram.
     """
-    weights = np.zeros((MOST_BUCKETS, 3))
-    last = np.array([0.3, 0.6, 0.1])
-    data = np.array(cells, np.float64).reshape(-1, 4)
-    for b in range(MOST_BUCKETS):
-        mine = data[data[:, 0] == b]
-        if len(mine):
-            shares = np.stack([*(np.where(mine[:, c] >= 0, np.exp((mine[:, c] - 1_000) * RATIO_STEP), 0.0) for c in (1, 2)), np.ones(len(mine))], 1)
-            lam = np.array([0.3, 0.6, 0.1])
-            for _ in range(rounds):
-                part = shares * lam
-                lam = (part / part.sum(1, keepdims=True) * mine[:, 3:]).sum(0) + [0.01, 0.01, 0.01]
-                lam /= lam.sum()
-            last = lam
+    weights = np.tile(np.array(START_WEIGHTS), (BUCKETS, 1))
+    seen: set[int] = set()
+    for _ in range(rounds):
+        of = lambda i: f"array({', '.join(f'{float(w)!r}D' for w in weights[:, i])})[bucket]"
+        split = cells.selectExpr("bucket", "tokens", f"{of(0)} * bigram / greatest(context, 1L) AS p0", f"{of(1)} * word / {max(n_kept, 1)} AS p1", f"{of(2)} / {n_types + 1} AS p2")
+        sums = split.groupBy("bucket").agg(*[F.expr(f"sum(tokens * p{i} / (p0 + p1 + p2)) AS s{i}") for i in range(3)]).collect()
+        new = weights.copy()
+        for r in sums:  # a row a bucket
+            own = np.array([r[f"s{i}"] for i in range(3)]) + 0.01
+            new[r["bucket"]] = own / own.sum()
+            seen.add(r["bucket"])
+        moved, weights = np.abs(new - weights).max(), new
+        if moved < 1e-5:
+            break
+    last = np.array(START_WEIGHTS)
+    for b in range(BUCKETS):
+        last = weights[b] if b in seen else last
         weights[b] = last if b else [0.0, *(last[1:] / last[1:].sum())]
     return weights
 
 
 def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs (doc_id, text).
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, token_score for every row of docs (doc_id, text).
 
-    Scores are log10 probabilities of the whole text with its end. Null text is empty: its only token is the end.
+    Scores are log10 probabilities of the whole text with its end; token_score is score by token, for comparing texts of
+    different lengths. Null text is empty: its only token is the end.
     Rows with a null doc_id are scored, but not learned from, and not held out. Repeated rows count as often as
     they come. Without training tokens every score is that of the uniform floor. An empty table gives an empty one.
     """
@@ -316,10 +323,9 @@ def score(docs: DataFrame) -> DataFrame:
     words = staged(_count_words(_send_words(docs, folder, n_parts), n_parts), "lm-words")
     sums = words.where(f"kind = {SUMS}").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "kept", "types"))).first()
     n, n_kept, types = sums["total"], sums["kept"], sums["types"]
-    counted = staged(_count_bigrams(_send_bigrams(words, folder, n_parts), n_parts, n_kept, types), "lm-bigrams")
-    # A cell for each bucket and pair of rounded ratios: a fixed number at most, whatever the input.
-    cells = counted.where(f"kind = {SUMS}").groupBy("part", "unit", "total").agg(F.sum("kept").alias("tokens")).collect()
-    weights = fit_weights(sorted((r["part"], r["unit"], r["total"], r["tokens"]) for r in cells))
+    counted = staged(_count_bigrams(_send_bigrams(words, folder, n_parts), n_parts), "lm-bigrams", partition_by="kind").select(*dict(_ROWS))
+    cells = counted.where(f"kind = {SUMS}").groupBy(F.col("part").alias("bucket"), F.col("unit").alias("bigram"), F.col("total").alias("context"), F.col("types").alias("word"))
+    weights = fit_weights(staged(cells.agg(F.sum("kept").alias("tokens")), "lm-cells"), n_kept, types)
     floor = 1 / (types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +355,8 @@ def score(docs: DataFrame) -> DataFrame:
                     "n_known": np.bincount(doc, c_word > 0, m).astype(np.int64),
                     "train_tokens": np.full(m, n, np.int64),
                     "base_score": base,
-                    "score": np.bincount(doc, np.log10(p), m),
+                    "score": (total_score := np.bincount(doc, np.log10(p), m)),
+                    "token_score": total_score / u.n_tokens,
                 }
             )
 
@@ -367,4 +374,4 @@ def score(docs: DataFrame) -> DataFrame:
             yield done()
 
     dealt = counted.where(f"kind IN ({HEAD}, {ANSWER})").repartition(n_parts, "unit").sortWithinPartitions("unit", "kind", "part")
-    return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, token_score double")
