@@ -12,30 +12,42 @@ CANONICAL_ORDER = {"V": 0, "M": 1, "O": 2}
 DOWNLOAD_ORDER = ("V", "O", "M")
 
 
-def rank(priorities: tuple[str, ...] = ("codici",), folded: bool = True) -> Column:
+#: What rank() and links need of a candidate, and what a body isn't.
+RANKED = ("codice_redazionale", "titolo", "tipo", "numero", "data", "versione_data", "entrata_in_vigore", "abrogazione_data", "template", "links", "folded_collection", "folded_source", "source", "collection", "source_format")
+
+
+def rank(priorities: tuple[str, ...] = ("codici",)) -> Column:
     """Format, first priority name within the collection's name, collection, source; smaller is better.
 
-    folded=False compares by lower(), which stays in the JVM and differs for a few letters only.
+    What is equal in all of these goes by source, collection and a digest of the content, so only equal rows tie.
     """
-    fold = T.casefold if folded else F.lower
-    collection = fold(F.col("collection"))
-    place = F.coalesce(*[F.when(F.contains(collection, F.lit(p.strip().casefold())), F.lit(i)) for i, p in enumerate(priorities) if p.strip()], F.lit(len(priorities)))
+    place = F.coalesce(*[F.when(F.contains("folded_collection", F.lit(p.strip().casefold())), F.lit(i)) for i, p in enumerate(priorities) if p.strip()], F.lit(len(priorities)))
     formats = F.create_map(*[F.lit(x) for kv in CANONICAL_ORDER.items() for x in kv])
-    return F.struct(F.coalesce(F.try_element_at(formats, F.col("source_format")), F.lit(9)).alias("format"), place.alias("place"), collection.alias("collection"), fold(F.col("source")).alias("source"), F.col("source").alias("tie"))
+    digest = F.xxhash64("codice_redazionale", "titolo", "tipo", "numero", "data", "versione_data", "entrata_in_vigore", "abrogazione_data", "template", "links")
+    names = [F.col(c) for c in ("folded_collection", "folded_source", "source", "collection")]
+    return F.struct(F.coalesce(F.try_element_at(formats, F.col("source_format")), F.lit(9)).alias("format"), place.alias("place"), *names, digest.alias("digest"))
 
 
-def select_canonical(candidates: DataFrame, priorities: tuple[str, ...] = ("codici",)) -> DataFrame:
-    """The best candidate of each urn with path_suffix and repo_path.
+def best_of(candidates: DataFrame, priorities: tuple[str, ...] = ("codici",)) -> DataFrame:
+    """urn, rank, codice_redazionale, path_suffix, repo_path of each urn's best candidate: no body is moved."""
+    ranks = candidates.select("urn", "codice_redazionale", rank(priorities).alias("rank"))
+    best = ranks.groupBy("urn").agg(F.min("rank").alias("rank"), F.min_by("codice_redazionale", "rank").alias("codice_redazionale"))
+    return with_paths(best)
 
-    The best is found over ranks alone and joined back, so bodies are shuffled once and no sort holds them.
-    """
-    ranked = candidates.withColumn("rank", rank(priorities))
-    best = ranked.groupBy("urn").agg(F.min("rank").alias("rank"))
-    chosen = ranked.join(best, ["urn", "rank"]).dropDuplicates(["urn"]).drop("rank")
-    return with_paths(chosen)
+
+def picked(candidates: DataFrame, best: DataFrame, priorities: tuple[str, ...] = ("codici",)) -> DataFrame:
+    """The rows of candidates that best names by urn and rank, with its other columns: bodies are shuffled at most once."""
+    more = best.select("urn", "rank", *[c for c in best.columns if c not in candidates.columns and c != "rank"])
+    return candidates.withColumn("rank", rank(priorities)).join(more, ["urn", "rank"]).dropDuplicates(["urn", "rank"]).drop("rank")
+
+
+def select_canonical(candidates: DataFrame, priorities: tuple[str, ...] = ("codici",)) -> DataFrame:
+    """The best candidate of each urn with path_suffix and repo_path."""
+    return picked(candidates, best_of(candidates, priorities), priorities)
 
 
 def with_paths(chosen: DataFrame, code: str = "codice_redazionale", urn: str = "urn") -> DataFrame:
+    """chosen with path_suffix and repo_path; a code that several rows share is told apart by a digest of the urn."""
     shared = chosen.groupBy(code).agg((F.count(F.lit(1)) > 1).alias("shared"))
     joined = chosen.join(shared, code)
     suffix = F.when(F.col("shared"), T.collision_suffix(urn)).otherwise(F.lit(""))

@@ -30,7 +30,7 @@ def allowed_errors(errors: DataFrame, exceptions: DataFrame) -> DataFrame:
     errors whose source contains one of its values; a number with a message allows the errors with that message,
     if there are exactly so many. Exceptions are few and joined by metric and collection.
     """
-    rules = exceptions.withColumn("exception_id", F.monotonically_increasing_id())
+    rules = exceptions.withColumn("exception_id", F.xxhash64(*exceptions.columns)).dropDuplicates(["exception_id"])
     both = errors.join(rules.withColumnRenamed("message", "wanted"), ["metric", "collection"])
     listed = both.where(F.exists("expected_sources", lambda v: F.contains("source", v)))
     counted = both.where(F.col("expected_value").isNotNull() & (F.coalesce("wanted", F.lit("")) != "") & F.contains("message", F.col("wanted")))

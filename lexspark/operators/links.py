@@ -9,9 +9,9 @@ from lexspark.functions import text as T
 from lexspark.sources.akn import LINK
 
 
-def references(canonical: DataFrame) -> DataFrame:
-    """urn, repo_path, pos, href, label of every open link."""
-    return canonical.select("urn", "repo_path", F.posexplode("links").alias("pos", "link")).select("urn", "repo_path", "pos", "link.href", "link.label")
+def references(chosen: DataFrame) -> DataFrame:
+    """urn, repo_path, pos, href, label of every open link of acts (urn, repo_path, links)."""
+    return chosen.select("urn", "repo_path", F.posexplode("links").alias("pos", "link")).select("urn", "repo_path", "pos", "link.href", "link.label")
 
 
 def _same_folder_link(path: Column) -> Column:
@@ -40,12 +40,15 @@ def edges(resolved: DataFrame) -> DataFrame:
     return resolved.where("kind = 'internal'").groupBy(F.col("repo_path").alias("source"), "target").agg(F.count(F.lit(1)).alias("n_links"))
 
 
-def render(canonical: DataFrame, resolved: DataFrame) -> DataFrame:
-    """canonical with body, markdown and link counts: each template's link marks are filled in order."""
+def shown(resolved: DataFrame) -> DataFrame:
+    """urn, shown (its links as written, in order) and how many there are of each kind."""
     counts = [F.count_if(F.col("kind") == k).alias(f"{k}_links") for k in ("internal", "external", "unresolved")]
-    own = resolved.groupBy("urn").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "rendered"))), lambda x: x["rendered"]).alias("shown"), *counts)
+    return resolved.groupBy("urn").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "rendered"))), lambda x: x["rendered"]).alias("shown"), *counts)
+
+
+def render(joined: DataFrame) -> DataFrame:
+    """Acts with their columns of shown(), if they have links, as acts with body, markdown and link counts: link marks are filled in order."""
     parts = F.split("template", LINK)
     filled = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get("shown", i), F.lit("")))), "")
-    joined = canonical.join(own, "urn", "left").withColumn("body", filled)
-    counted = joined.withColumns({f"{k}_links": F.coalesce(f"{k}_links", F.lit(0)) for k in ("internal", "external")} | {"unresolved_links": F.coalesce("unresolved_links", F.lit(0)) + F.col("dead_links")})
+    counted = joined.withColumn("body", filled).withColumns({f"{k}_links": F.coalesce(f"{k}_links", F.lit(0)) for k in ("internal", "external")} | {"unresolved_links": F.coalesce("unresolved_links", F.lit(0)) + F.col("dead_links")})
     return counted.withColumn("markdown", F.concat(T.front_matter(), "body", F.lit("\n"))).drop("shown", "template", "links", "dead_links")

@@ -6,7 +6,9 @@ Queries: words (all must match), OR, AND, NOT, parentheses, "phrases", prefix*,
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +17,21 @@ from lexspark.operators.temporal import in_force
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 COLUMNS = ("titolo", "text")
-#: Letters with marks and the plain letters that they match.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+
+
+def _marked() -> tuple[str, str]:
+    """Letters of the first planes that are a plain letter with marks, and these letters; from the character database."""
+    found = {}
+    for point in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)):
+        letter = unicodedata.normalize("NFD", chr(point).lower())
+        if len(letter) > 1 and letter[0].isalpha() and all(unicodedata.category(c) == "Mn" for c in letter[1:]):
+            found[chr(point).lower()] = unicodedata.normalize("NFKD", letter[0])[0]
+    one = {k: v for k, v in found.items() if len(k) == 1}
+    return "".join(one), "".join(one.values())
+
+
+#: Letters with marks and the plain letters that they match.
+MARKED, PLAIN = _marked()
 
 
 class MatchError(ValueError):
@@ -34,15 +48,6 @@ def fold(word: str) -> str:
     return word.lower().translate(str.maketrans(MARKED, PLAIN))
 
 
-def postings(documents: DataFrame, key: str = "urn", columns: tuple[str, ...] = COLUMNS) -> DataFrame:
-    """key, col, term, positions, n_tokens (of all columns together)."""
-    lists = documents.select(key, *[tokens(F.col(c)).alias(c) for c in columns])
-    sized = lists.withColumn("n_tokens", sum((F.size(c) for c in columns), F.lit(0)))
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("list")) for c in columns])).alias("e")
-    spread = sized.select(key, "n_tokens", each).select(key, "n_tokens", "e.col", F.posexplode("e.list").alias("pos", "term"))
-    return spread.groupBy(key, "col", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.first("n_tokens").alias("n_tokens"))
-
-
 @dataclass(frozen=True)
 class Phrase:
     words: tuple[str, ...]
@@ -50,6 +55,22 @@ class Phrase:
     column: str | None = None
 
 
+def _wanted(term: Column, phrases: list[Phrase]) -> Column:
+    """Whether a term is a word of the phrases, or begins with a prefix of theirs."""
+    whole = sorted({w for p in phrases for w in p.words[: len(p.words) - p.prefix]})
+    begun = sorted({p.words[-1] for p in phrases if p.prefix})
+    return reduce(Column.__or__, [*([term.isin(whole)] if whole else []), *(F.startswith(term, F.lit(w)) for w in begun)])
+
+
+def postings(documents: DataFrame, key: str = "urn", columns: tuple[str, ...] = COLUMNS, wanted: list[Phrase] | None = None) -> DataFrame:
+    """key, col, term, positions, n_tokens (of all columns together). wanted: only terms of these phrases."""
+    sized = documents.select(key, *[tokens(F.col(c)).alias(c) for c in columns]).withColumn("n_tokens", sum((F.size(c) for c in columns), F.lit(0)).cast("int"))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("list")) for c in columns])).alias("e")
+    spread = sized.select(key, "n_tokens", each).select(key, "n_tokens", "e.col", F.posexplode("e.list").alias("pos", "term"))
+    kept = spread if wanted is None else spread.where(_wanted(F.col("term"), wanted))
+    return kept.groupBy(key, "col", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.first("n_tokens").alias("n_tokens"))
+
+
 _LEX = re.compile(r'\s*(?:(?P<open>\()|(?P<close>\))|(?:(?P<col>\w+)\s*:\s*)?(?:"(?P<phrase>(?:[^"]|"")*)"|(?P<word>[\w]+))(?P<star>\s*\*)?)')
 
 
@@ -126,15 +147,21 @@ def _hits(index: DataFrame, phrase: Phrase, key: str) -> DataFrame:
     return start.groupBy(key).agg(F.count(F.lit(1)).alias("tf"), F.first("n_tokens").alias("n_tokens"))
 
 
-def search(documents: DataFrame, query: str, limit: int | None = 20, day: str | None = None, key: str = "urn", index: DataFrame | None = None) -> DataFrame:
+def totals(documents: DataFrame) -> DataFrame:
+    """One row: n_docs, avg_tokens."""
+    return documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(sum((F.size(tokens(F.col(c))) for c in COLUMNS), F.lit(0))).alias("avg_tokens"))
+
+
+def search(documents: DataFrame, query: str, limit: int | None = 20, day: str | None = None, key: str = "urn", index: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """The best documents with score, lower being better, ties by key; limit None: all. day: only those in force then.
 
-    index: a stored table of postings(); else it is made from documents.
+    index, counts: stored tables of postings() and totals(); else they are made from documents, in which case only the
+    postings of the query's words are.
     """
     tree = parse_match(query)
-    index = postings(documents, key) if index is None else index
     phrases = list(dict.fromkeys(leaves(tree)))
-    totals = documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(sum((F.size(tokens(F.col(c))) for c in COLUMNS), F.lit(0))).alias("avg_tokens"))
+    counts = totals(documents) if counts is None else counts
+    index = postings(documents, key, wanted=phrases) if index is None else index.where(_wanted(F.col("term"), phrases))
     hits = None
     for i, phrase in enumerate(phrases):
         one = _hits(index, phrase, key).withColumn("phrase", F.lit(i))
@@ -144,7 +171,7 @@ def search(documents: DataFrame, query: str, limit: int | None = 20, day: str |
     tf = F.col("tf").cast("double")
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("n_tokens") / F.col("avg_tokens"))
     part = F.when(idf > 0, idf).otherwise(F.lit(LEAST_IDF)) * tf * F.lit(K1 + 1) / (tf + norm)
-    scored = hits.join(F.broadcast(df), "phrase").crossJoin(F.broadcast(totals)).groupBy(key).agg((-F.sum(part)).alias("score"), F.collect_set("phrase").alias("found"))  # a row a phrase, and one row
+    scored = hits.join(F.broadcast(df), "phrase").crossJoin(F.broadcast(counts)).groupBy(key).agg((-F.sum(part)).alias("score"), F.collect_set("phrase").alias("found"))  # a row a phrase, and one row
 
     def holds(node) -> Column:
         if isinstance(node, Phrase):
@@ -152,6 +179,10 @@ def search(documents: DataFrame, query: str, limit: int | None = 20, day: str |
         left, right = holds(node[1]), holds(node[2])
         return left & right if node[0] == "and" else left | right if node[0] == "or" else left & ~right
 
-    kept = scored.where(holds(tree)).drop("found").join(documents, key)
-    ranked = (kept.where(in_force(day)) if day else kept).orderBy("score", key)
-    return ranked if limit is None else ranked.limit(limit)
+    kept = scored.where(holds(tree)).drop("found")
+    if day:
+        kept = kept.join(documents.where(in_force(day)).select(key), key, "left_semi")
+    if limit is None:
+        return kept.join(documents, key)
+    best = kept.orderBy("score", key).limit(limit)  # before documents are read
+    return best.join(documents, key).orderBy("score", key)

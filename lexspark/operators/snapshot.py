@@ -25,6 +25,11 @@ def by_year(documents: DataFrame) -> DataFrame:
     return documents.groupBy(T.year_bucket("data").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def urn_index(names: DataFrame) -> DataFrame:
+    """urn, path, code of every act."""
+    return names.select("urn", F.col("repo_path").alias("path"), F.col("codice_redazionale").alias("code"))
+
+
 def files(rendered: DataFrame) -> DataFrame:
     return rendered.select(F.col("repo_path").alias("path"), T.sha256_text("markdown").alias("sha256"))
 
@@ -75,10 +80,10 @@ def checksum_failures(sums: DataFrame, have: DataFrame) -> DataFrame:
     return bad.unionByName(wrong)
 
 
-def verify(document_table: DataFrame, article_table: DataFrame, index: DataFrame, inverted: DataFrame, acts: int, articles: int) -> DataFrame:
-    """All failures of a snapshot's tables; an empty one is verified."""
+def verify(document_table: DataFrame, article_table: DataFrame, index: DataFrame, inverted: DataFrame, acts: int | None, articles: int | None) -> DataFrame:
+    """All failures of a snapshot's tables against each other and against the manifest's counts; an empty one is verified."""
     told = lambda df, text: df.limit(1).select(F.lit(text).alias("failure"))
-    count = lambda df, n: df.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != n)
+    count = lambda df, n: df.agg(F.count(F.lit(1)).alias("n")).where(~F.col("n").eqNullSafe(F.lit(n)))
     return reduce(
         DataFrame.unionByName,
         (

@@ -40,22 +40,3 @@ def article_as_of(article_table: DataFrame, urn: str, anchor: str, day: str | No
     """At most one row: the article, as in force on the day if one is given."""
     rows = article_table.where((F.col("document_urn") == urn) & (F.col("anchor") == anchor))
     return latest(rows.where(in_force(day)) if day else rows, "document_urn", "anchor")
-
-
-def intervals_from_events(events: DataFrame, intervals: DataFrame) -> DataFrame:
-    """doc, interval_id, valid_from, valid_to: ends of intervals (doc, interval_id, start, end) looked up among
-    events (doc, event_id, date); an end that is no event is a date itself."""
-    ends = {"valid_from": "start", "valid_to": "end"}
-    out = intervals
-    for name, column in ends.items():
-        found = events.select("doc", F.col("event_id").alias(column), F.col("date").alias(f"{name}_date"))
-        out = out.join(found, ["doc", column], "left").withColumn(name, F.coalesce(f"{name}_date", F.nullif(column, F.lit("")))).drop(f"{name}_date")
-    return out.select("doc", "interval_id", *ends)
-
-
-def validity(elements: DataFrame, intervals: DataFrame) -> DataFrame:
-    """elements (doc, period, start, end, ...) with valid_from and valid_to: the period's interval, else their own ends."""
-    known = intervals.select("doc", F.col("interval_id").alias("period"), F.col("valid_from").alias("p_from"), F.col("valid_to").alias("p_to"), F.lit(True).alias("known"))
-    own = lambda c: F.nullif(F.ltrim(F.col(c), F.lit("#")), F.lit(""))
-    joined = elements.withColumn("period", F.ltrim(F.coalesce("period", F.lit("")), F.lit("#"))).join(known, ["doc", "period"], "left")
-    return joined.withColumns({"valid_from": F.when(F.col("known"), F.col("p_from")).otherwise(own("start")), "valid_to": F.when(F.col("known"), F.col("p_to")).otherwise(own("end"))}).drop("p_from", "p_to", "known")

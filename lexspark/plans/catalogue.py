@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from lexspark.functions import text as T
 from lexspark.operators import canonical, gates, links, search, snapshot, temporal
 from lexspark.plans import build
+from lexspark.sources import akn
+from lexspark.sources.archives import xml_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -291,16 +293,17 @@ def link_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register(
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND d <= '1995-06-17' THEN 'abrogato' WHEN d > '1997-01-01' THEN 'futuro' WHEN o_orderstatus IN ('O', 'F') THEN 'ignoto' ELSE 'ignoto' END AS status_o,
-    CASE WHEN o_orderstatus = 'O' THEN 'originale' ELSE 'ignoto' END AS label
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND d <= '1995-06-17' THEN 'abrogato' WHEN d > '1997-01-01' THEN 'futuro' WHEN o_orderstatus IN ('P', 'F') THEN 'vigente' ELSE 'ignoto' END AS status_o,
+    CASE o_orderstatus WHEN 'O' THEN 'originale' WHEN 'P' THEN 'multivigente' WHEN 'F' THEN 'vigente' ELSE 'ignoto' END AS label
     FROM (SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)"""
 )
 def status_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
+    own = rows.withColumn("format", F.when(F.col("o_orderstatus") == "P", "m").when(F.col("o_orderstatus") == "F", "V").when(F.col("o_orderstatus") == "O", "O"))
     repealed = F.when(F.col("o_orderstatus") == "F", F.col("d"))
     reference = F.when(F.col("o_orderstatus") == "F", F.lit("1995-06-17")).otherwise(F.lit("1997-01-01"))
-    stated = T.status(reference, F.lit(""), F.when((F.col("d") > "1997-01-01"), F.lit("9999")), repealed, "o_orderstatus")
-    return rows.select("o_orderkey", stated.alias("status_o"), T.format_label("o_orderstatus").alias("label"))
+    stated = T.status(reference, F.lit(""), F.when((F.col("d") > "1997-01-01"), F.lit("9999")), repealed, F.coalesce("format", F.lit("")))
+    return own.select("o_orderkey", stated.alias("status_o"), T.format_label("format").alias("label"))
 
 
 @_register()
@@ -375,22 +378,37 @@ _ACT = """<akomaNtoso xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0" x
 </body></act></akomaNtoso>"""
 
 
-def _xml_text(c: str) -> F.Column:
-    """Whole text as XML character data: null is empty, characters that XML cannot hold become U+FFFD, CR stays CR."""
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\t\n\r\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]", "\uFFFD")
-    for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
-        out = F.replace(out, F.lit(raw), F.lit(escaped))
-    return out
+#: Failures of members, in the order in which rejected acts have them.
+REJECTED = ("payload is not XML", "base64-wrapped HTML, not AKN XML", "XML root is not Akoma Ntoso", "missing URN", "missing codice_redazionale", "base64 payload is not UTF-8 XML")
 
 
 def acts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members in AKN, one a document with its whole text: every seventh is base64 of HTML, every fifth shares its neighbour's code."""
+    """Members in AKN, one a document with its whole text: every seventh is rejected, for all reasons in turn, every fifth shares its neighbour's code."""
     ident = F.col("doc_id").cast("string")
     code = (F.col("doc_id") - F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).cast("string")
-    xml = F.format_string(_ACT, ident, code, ident, F.col("source"), _xml_text("text"), (F.col("doc_id") + 1).cast("string"))
-    page = F.base64(F.encode(F.concat(F.lit("<html>"), _xml_text("text"), F.lit("</html>")), "UTF-8"))
-    raw = F.when(F.col("doc_id") % 7 == 0, F.replace(page, F.lit("\r\n"), F.lit(""))).otherwise(xml)  # Spark breaks base64 into lines
-    return _table(spark, sf_dir, "documents").select(F.col("source").alias("collection"), F.lit("V").alias("source_format"), ident.alias("source"), F.encode(raw, "UTF-8").alias("raw"))
+    text = xml_text(F.col("text"))
+    xml = F.encode(F.format_string(_ACT, ident, code, ident, F.col("source"), text, (F.col("doc_id") + 1).cast("string")), "UTF-8")
+    unwrapped = lambda raw: F.encode(F.replace(F.base64(raw), F.lit("\r\n"), F.lit("")), "UTF-8")  # noqa: E731  Spark breaks base64 into lines
+    without = lambda part, other: F.encode(F.replace(F.decode(xml, "UTF-8"), F.lit(part), F.lit(other)), "UTF-8")
+    bad = (
+        F.encode(F.concat(F.lit("!"), text), "UTF-8"),
+        unwrapped(F.encode(F.concat(F.lit("<html>"), text, F.lit("</html>")), "UTF-8")),
+        F.encode(F.concat(F.lit("<root>"), text, F.lit("</root>")), "UTF-8"),
+        without('name="urn:nir"', 'name="urn"'),
+        without("eli:id_local", "eli:id"),
+        unwrapped(F.concat(F.unhex(F.lit("FF")), F.encode(text, "UTF-8"))),
+    )
+    kind = F.floor(F.col("doc_id") / 7) % len(bad)
+    raw = F.when(F.col("doc_id") % 7 != 0, xml)
+    for i, member in enumerate(bad):
+        raw = raw.when(kind == i, member)
+    return _table(spark, sf_dir, "documents").select(F.col("source").alias("collection"), F.lit("V").alias("source_format"), ident.alias("source"), raw.otherwise(xml).alias("raw"))
+
+
+@_register("SELECT ['" + "', '".join(REJECTED) + "'][(doc_id // 7) % 6 + 1] AS message, source AS collection, count(*) AS n FROM documents WHERE doc_id % 7 = 0 GROUP BY ALL")
+def rejected_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = akn.errors(akn.parse_members(acts(spark, sf_dir)))
+    return made.groupBy("message", "collection").agg(_n().alias("n"))
 
 
 @_register(
@@ -414,10 +432,85 @@ def akn_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.rendered.select("urn", F.col("repo_path").alias("path"), kind.alias("kind"), F.regexp_extract("body", r"\n\nNow see (\[the next\]\([^)\n]*\))\z", 1).alias("link"))
 
 
-@_register(
-    """SELECT 'urn:nir:stato:legge:2001-01-01;' || doc_id AS document_urn, 'art-1' AS anchor, 1::BIGINT AS version, '2001-01-01' AS valid_from, '2011-01-01' AS valid_to FROM documents WHERE doc_id % 7 <> 0"""
-)
+_AS_OF = "SELECT 'urn:nir:stato:legge:2001-01-01;' || doc_id AS document_urn, 'art-1' AS anchor, {version}::BIGINT AS version, {dates} FROM documents WHERE doc_id % 7 <> 0"
+_FIRST, _SECOND = "'2001-01-01' AS valid_from, '2011-01-01' AS valid_to", "'2011-01-01' AS valid_from, NULL::VARCHAR AS valid_to"
+
+
+@_register(_AS_OF.format(version=1, dates=_FIRST))
 def articles_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = build.plan(acts(spark, sf_dir))
     found = temporal.latest(made.articles.where(temporal.in_force("2010-12-31")), "document_urn", "anchor")
     return found.select("document_urn", "anchor", F.col("version").cast("long").alias("version"), "valid_from", "valid_to")
+
+
+@_register(" UNION ALL ".join(f"SELECT '{day}' AS day, * FROM ({_AS_OF.format(version=v, dates=d)})" for day, v, d in (("2001-01-01", 1, _FIRST), ("2010-12-31", 1, _FIRST), ("2011-01-01", 2, _SECOND))))
+def articles_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends of half-open intervals: the day before the first, the first and last day of one version, the next one's first."""
+    made = build.plan(acts(spark, sf_dir))
+    days = F.array(*map(F.lit, ("2000-12-31", "2001-01-01", "2010-12-31", "2011-01-01")))
+    asked = made.articles.select("document_urn", "anchor", "version", "valid_from", "valid_to", F.explode(days).alias("day"))
+    found = temporal.latest(asked.where(temporal.in_force(F.col("day"))), "document_urn", "anchor", "day")
+    return found.select("day", "document_urn", "anchor", F.col("version").cast("long").alias("version"), "valid_from", "valid_to")
+
+
+@_register(
+    """WITH d AS (SELECT a.doc_id, a.source, a.doc_id % 7 = 0 AS bad, b.doc_id IS NOT NULL AS inside FROM documents a LEFT JOIN (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0) b ON b.doc_id = a.doc_id + 1),
+    w AS (SELECT '*' AS collection, count(*) FILTER (NOT bad) AS acts, 2 * count(*) FILTER (NOT bad) AS articles, count(*) FILTER (NOT bad AND inside) AS internal_links, count(*) FILTER (NOT bad AND NOT inside) AS external_links,
+      0::BIGINT AS unresolved_links, count(*) AS xml_received, count(*) FILTER (bad) AS skipped, 0::BIGINT AS duplicates FROM d),
+    c AS (SELECT source AS collection, count(*) AS xml_received, count(*) FILTER (bad) AS skipped, count(*) FILTER (NOT bad) AS converted, 2 * count(*) FILTER (NOT bad) AS articles FROM d GROUP BY 1)
+    SELECT collection, metric, value FROM (UNPIVOT w ON COLUMNS(* EXCLUDE (collection)) INTO NAME metric VALUE value) UNION ALL SELECT collection, metric, value FROM (UNPIVOT c ON COLUMNS(* EXCLUDE (collection)) INTO NAME metric VALUE value)"""
+)
+def snapshot_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build.metrics(build.plan(acts(spark, sf_dir)))
+
+
+@_register(
+    """SELECT sha256(coalesce(text, '')) AS urn, arg_min(doc_id, (CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 ELSE 9 END, CASE WHEN contains(coalesce(source, ''), 'src1') THEN 0 ELSE 1 END, coalesce(source, ''), lpad(CAST(doc_id AS VARCHAR), 12, '0'))) AS doc_id FROM documents GROUP BY 1"""
+)
+def canonical_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's own ranks: format, priority, collection, source."""
+    formats = F.when(F.col("lang") == "en", "V").when(F.col("lang") == "de", "M").when(F.col("lang") == "fr", "O").otherwise("")
+    names = {"collection": F.coalesce("source", F.lit("")), "source": F.lpad(F.col("doc_id").cast("string"), 12, "0")}
+    known = {"urn": T.sha256_text(F.coalesce("text", F.lit(""))), "codice_redazionale": F.col("doc_id").cast("string"), "source_format": formats} | names | {f"folded_{k}": v for k, v in names.items()}
+    docs = _table(spark, sf_dir, "documents").select(*[v.alias(k) for k, v in (known | {k: F.lit("") for k in canonical.RANKED if k not in known}).items()])
+    return canonical.best_of(docs, ("src1",)).select("urn", F.col("codice_redazionale").cast("long").alias("doc_id"))
+
+
+@_register("SELECT DISTINCT l_orderkey AS document_urn FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("urn"))
+    return snapshot.orphans(_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("document_urn")), orders)
+
+
+@_register("SELECT 'index reference: ' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS failure FROM documents WHERE source IS NULL OR (doc_id % 13 = 0)")
+def index_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index against an inverted one that lacks some of its rows."""
+    index = _table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("urn"), T.repo_path("source", F.lit("")).alias("path"), F.col("source").alias("code"), (F.col("doc_id") % 13 == 0).alias("lost"))
+    inverted = canonical.inverted_index(index.where("NOT lost").select("urn", F.col("path").alias("repo_path"), "code"), "code")
+    return snapshot.index_failures(index.drop("lost"), inverted)
+
+
+@_register(
+    """WITH l AS (SELECT page_id, sha256(url) AS digest, CASE WHEN page_id % 7 = 0 THEN 'bad' WHEN page_id % 11 = 0 THEN sha256(url) || '  a/' || page_id ELSE sha256(url) || '  ' || page_id END AS line FROM pages)
+    SELECT CASE WHEN page_id % 7 = 0 OR page_id % 11 = 0 THEN 'malformed checksum line: ' || line ELSE 'checksum: ' || page_id END AS failure FROM l WHERE page_id % 7 = 0 OR page_id % 11 = 0 OR page_id % 5 = 0"""
+)
+def checksum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, digest = F.col("page_id").cast("string"), T.sha256_text("url")
+    line = F.when(F.col("page_id") % 7 == 0, "bad").when(F.col("page_id") % 11 == 0, F.concat(digest, F.lit("  a/"), name)).otherwise(F.concat(digest, F.lit("  "), name))
+    pages = _table(spark, sf_dir, "pages")
+    have = pages.select(name.alias("name"), F.when(F.col("page_id") % 5 == 0, T.sha256_text("html")).otherwise(digest).alias("sha256"))
+    return snapshot.checksum_failures(pages.select(line.alias("line")), have)
+
+
+@_register(
+    """WITH e AS (SELECT doc_id, source, NOT contains(source, 'src1') AS open FROM documents WHERE lang = 'es'), n AS (SELECT count(*) AS accounted, count(*) FILTER (open) AS open FROM e)
+    SELECT '3 skipped XML lack an error record' AS failure UNION ALL SELECT (accounted + 3) || ' XML skipped, ' || open || ' unexcepted errors' FROM n WHERE open > 0
+    UNION ALL SELECT 'not every document has one URN and editorial code' FROM (SELECT count(*) AS a, count(DISTINCT source) AS b FROM documents) WHERE a <> b
+    UNION ALL SELECT * FROM (SELECT source || ': bad es' FROM e WHERE open ORDER BY doc_id LIMIT 20)"""
+)
+def report_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    errors = docs.where("lang = 'es'").select(F.col("doc_id").alias("error_id"), "source", F.lit("bad es").alias("message"), F.lit("*").alias("collection"), F.lit("invalid_xml").alias("metric"))
+    listed = _exceptions(spark, "('invalid_xml', '*', CAST(NULL AS INT), array('src1'), CAST(NULL AS STRING), 'known', '2999-01-01')")
+    totals = docs.agg((F.count_if(F.col("lang") == "es") + 3).alias("skipped"), _n().alias("converted"), _n().alias("urns"), F.count_distinct("source").alias("codes"))
+    return gates.report_failures(totals, errors, gates.active(listed, "2026-01-01"))

@@ -1,16 +1,19 @@
-"""get, search and verify over a written snapshot. Exit codes: 0 found, 1 nothing found or failed, 2 error."""
+"""get, search and verify over a published snapshot. Exit codes: 0 found, 1 nothing found or failed, 2 error."""
 
 from __future__ import annotations
 
 import argparse
 import json
 import sys
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.operators import canonical, search, snapshot, temporal
+from lexspark.functions.text import SCHEMA_VERSION
+from lexspark.operators import search, snapshot, temporal
+from lexspark.sources import sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,23 +35,36 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def verify(spark: SparkSession, folder: str) -> list[str]:
+    """Failures of a published snapshot: its checksums, schemas, counts and references, each against what was stored apart."""
+    sums = sinks.read_text(spark, f"{folder}/SHA256SUMS")
+    manifest = sinks.read_json(spark, f"{folder}/manifest.json")
+    index_head = sinks.read_json(spark, f"{folder}/urn-index.json")
+    told = [text for bad, text in ((sums is None, "SHA256SUMS missing"), (manifest.get("schema_version") != SCHEMA_VERSION, "manifest schema"), (index_head.get("schema_version") != SCHEMA_VERSION, "urn index schema")) if bad]
+    counts = manifest.get("counts", {})
+    lines = spark.createDataFrame([(line,) for line in (sums or "").splitlines()], "line string")
+    tables = [_table(spark, folder, name) for name in ("documents", "articles", "urn_index", "code_index")]
+    found = [snapshot.checksum_failures(lines, sinks.digests(spark, folder)), snapshot.verify(*tables, counts.get("acts"), counts.get("articles"))]
+    return told + sorted(r["failure"] for r in reduce(DataFrame.unionByName, found).collect())
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("lexspark").getOrCreate()
+    folder = args.snapshot
     try:
-        documents = _table(spark, args.snapshot, "documents")
         if args.verb == "verify":
-            index = _table(spark, args.snapshot, "urn_index")
-            inverted = canonical.inverted_index(index.select("urn", F.col("path").alias("repo_path"), "code"), "code")
-            articles = _table(spark, args.snapshot, "articles")
-            failures = snapshot.verify(documents, articles, index, inverted, index.count(), articles.count())
-            found = [r["failure"] for r in failures.collect()]
+            found = verify(spark, folder)
             print(json.dumps({"ok": not found, "failures": found}))
             return 1 if found else 0
+        if sinks.read_text(spark, f"{folder}/manifest.json") is None:
+            print("error: not a published snapshot", file=sys.stderr)
+            return 2
+        documents = _table(spark, folder, "documents")
         if args.verb == "search":
-            rows = [r.asDict() for r in search.search(documents, args.key, args.limit, args.vigente_al).collect()]
+            rows = [r.asDict() for r in search.search(documents, args.key, args.limit, args.vigente_al, index=_table(spark, folder, "postings"), counts=_table(spark, folder, "totals")).collect()]
         elif args.article:
-            rows = [r.asDict() for r in temporal.article_as_of(_table(spark, args.snapshot, "articles"), args.key, args.article, args.vigente_al).collect()]
+            rows = [r.asDict() for r in temporal.article_as_of(_table(spark, folder, "articles"), args.key, args.article, args.vigente_al).collect()]
         else:
             rows = [r.asDict() for r in documents.where(F.col("urn") == args.key).limit(1).collect()]
     except (PySparkException, search.MatchError) as error:

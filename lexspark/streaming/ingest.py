@@ -25,7 +25,7 @@ def keep_best(spark: SparkSession, stream: DataFrame, table: str, checkpoint: st
     def fold(batch: DataFrame, number: int) -> None:
         new = akn.candidates(akn.parse_members(batch))
         rows = new if number == 0 else new.unionByName(spark.read.parquet(f"{table}/v={number - 1}"))
-        ranked = rows.withColumn("rank", rank(folded=False))
+        ranked = rows.withColumn("rank", rank())
         best = ranked.groupBy("urn").agg(F.min_by(F.struct(*rows.columns), "rank").alias("best")).select("best.*")
         best.write.mode("overwrite").parquet(f"{table}/v={number}")
 

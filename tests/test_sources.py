@@ -1,20 +1,23 @@
+import hashlib
+import re
 import sqlite3
+import unicodedata
 import zipfile
 
 import pytest
-from akn_samples import PENAL
+from akn_samples import MARKET
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
 from lexspark.operators import canonical, search
-from lexspark.sources import akn, archives
+from lexspark.sources import acquire, akn, archives
 from lexspark.streaming import ingest
 
 
 def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
         for name in ("a.xml", "B.XML", "c.txt", "d/e.xml"):
-            z.writestr(name, PENAL)
+            z.writestr(name, MARKET)
     with zipfile.ZipFile(tmp_path / "evil.zip", "w") as z:
         z.writestr("a.xml", "x")
         z.writestr("../escape.xml", "x")
@@ -23,8 +26,115 @@ def test_archives(spark, tmp_path):
     assert sorted(r["name"] for r in rows if r["raw"]) == ["B.XML", "a.xml", "d/e.xml"]
     assert sorted("unsafe" in r["error"] for r in rows if r["error"]) == [False, True]
     assert archives.zip_members(spark, str(tmp_path), sample=1).where("raw IS NOT NULL").count() == 1
-    inventory = spark.createDataFrame([("good.zip", "0", 1)], "name string, sha256 string, size long")
-    assert archives.cache_check(spark, str(tmp_path), inventory).where("valid").count() == 0
+    good = (tmp_path / "good.zip").read_bytes()
+    schema = "name string, sha256 string, size long, members long"
+    for members, valid in ((4, 1), (3, 0)):
+        inventory = spark.createDataFrame([("good.zip", hashlib.sha256(good).hexdigest(), len(good), members)], schema)
+        assert archives.cache_check(spark, str(tmp_path), inventory).where("valid").count() == valid
+
+
+def damaged_zip(path, damage):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.xml", MARKET)
+        z.writestr("b.xml", MARKET * 3)
+    raw = bytearray(path.read_bytes())
+    damage(raw)
+    path.write_bytes(raw)
+
+
+def overwrite(raw, at, by):
+    raw[at : at + len(by)] = by
+
+
+def test_damaged_archives_give_one_error_and_no_member(spark, tmp_path):
+    """Bad deflate data, wrong checksums, encrypted files, unknown methods and archives without files."""
+    second = lambda raw: raw.index(b"PK\x03\x04", 4)
+    entry = lambda raw: raw.rindex(b"PK\x01\x02")
+    damaged_zip(tmp_path / "data.zip", lambda raw: overwrite(raw, second(raw) + 40, b"\xff" * 30))
+    damaged_zip(tmp_path / "crc.zip", lambda raw: (overwrite(raw, entry(raw) + 16, b"\1\2\3\4"), overwrite(raw, second(raw) + 14, b"\1\2\3\4")))
+    damaged_zip(tmp_path / "locked.zip", lambda raw: (overwrite(raw, entry(raw) + 8, b"\1\0"), overwrite(raw, second(raw) + 6, b"\1\0")))
+    damaged_zip(tmp_path / "method.zip", lambda raw: (overwrite(raw, entry(raw) + 10, b"\x63\0"), overwrite(raw, second(raw) + 8, b"\x63\0")))
+    zipfile.ZipFile(tmp_path / "none.zip", "w").close()
+    damaged_zip(tmp_path / "whole.zip", lambda raw: None)
+    rows = archives.zip_members(spark, str(tmp_path)).collect()
+    errors = {r["archive"].rpartition("/")[2]: r["error"] for r in rows if r["error"]}
+    assert sorted(errors) == ["crc.zip", "data.zip", "locked.zip", "method.zip", "none.zip"] and errors["none.zip"] == "archive without files"
+    assert [(r["archive"].rpartition("/")[2], r["name"]) for r in rows if r["raw"]] == [("whole.zip", "a.xml"), ("whole.zip", "b.xml")]
+
+
+class Server:
+    """Serves one archive by format, and breaks where it is told to."""
+
+    def __init__(self, archives, breaks=(), etag="t1", ranges=True):
+        self.archives, self.breaks, self.etag, self.ranges, self.asked = archives, list(breaks), etag, ranges, []
+
+    def __call__(self, collection, source_format, offset):
+        self.asked.append((source_format, offset))
+        if source_format not in self.archives:
+            raise ConnectionError("not offered")
+        raw = self.archives[source_format]
+        start = offset if offset and self.ranges else None
+        return acquire.Answer(start, self.etag, self.pieces(raw[start or 0 :]))
+
+    def pieces(self, raw):
+        if self.breaks:
+            yield raw[: self.breaks.pop(0)]
+            raise ConnectionError("broken")
+        yield raw
+
+
+@pytest.fixture
+def archive(tmp_path):
+    damaged_zip(tmp_path / "one.zip", lambda raw: None)
+    return (tmp_path / "one.zip").read_bytes()
+
+
+def test_downloads_go_on_and_are_cached(tmp_path, archive):
+    cache, server = acquire.Cache(tmp_path / "cache"), Server({"V": archive}, breaks=[100, 50])
+    path, cached = acquire.download(server, cache, "Borgo", "V", "borgo-V-2020.zip")
+    assert path.read_bytes() == archive and not cached and server.asked == [("V", 0), ("V", 100), ("V", 150)]
+    assert acquire.download(server, cache, "Borgo", "V", "borgo-V-2020.zip") == (path, True) and len(server.asked) == 3
+    assert sorted(p.name for p in cache.folder.iterdir()) == ["borgo-V-2020.zip", "borgo-V-2020.zip.sha256", "inventory.json"]
+    path.write_bytes(archive[:-1])  # evicted and got again
+    assert acquire.download(server, cache, "Borgo", "V", "borgo-V-2020.zip")[1] is False and path.read_bytes() == archive
+    (cache.folder / "inventory.json").write_text("{")
+    assert cache.entries() == {} and cache.get("borgo-V-2020.zip") is None and not path.exists()
+
+
+def test_parts_of_another_archive_are_thrown_away(tmp_path, archive):
+    cache, broken = acquire.Cache(tmp_path / "cache"), Server({"V": archive}, breaks=[100] * 3)
+    with pytest.raises(acquire.NotAvailable, match="after 1 attempts"):
+        acquire.download(broken, cache, "Borgo", "V", "borgo-V-2020.zip", attempts=1)
+    other = Server({"V": archive}, etag="t2")
+    assert acquire.download(other, cache, "Borgo", "V", "borgo-V-2021.zip")[0].read_bytes() == archive and other.asked == [("V", 100), ("V", 0)]
+    whole = Server({"V": archive}, ranges=False)
+    (cache.folder / "borgo-V.part").write_bytes(b"old")
+    assert acquire.download(whole, cache, "Borgo", "V", "borgo-V-2022.zip")[0].read_bytes() == archive  # the server begins anew
+    empty = Server({"V": b""})
+    with pytest.raises(acquire.NotAvailable):
+        acquire.download(empty, cache, "Borgo", "V", "borgo-V-2023.zip")
+
+
+def test_other_formats_are_tried(tmp_path, archive):
+    cache, server = acquire.Cache(tmp_path / "cache"), Server({"M": archive})
+    path, source_format, _ = acquire.collect(server, cache, "Borgo", "borgo", "V", ["M", "O", "V"], "2020-01-01")
+    assert source_format == "M" and path.name == "borgo-M-2020-01-01.zip" and [f for f, _ in server.asked] == ["V"] * 3 + ["O"] * 3 + ["M"]
+    assert acquire.formats_to_try("O", ["V", "M", "O"]) == ["O", "V", "M"]
+    nothing = Server({})
+    assert acquire.collect(nothing, cache, "Mare", "mare", "V", smoke=True) is None
+    with pytest.raises(acquire.NotAvailable, match="no format"):
+        acquire.collect(nothing, cache, "Mare", "mare", "V", ["O"])
+
+
+def test_a_listing_must_be_a_list(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{"error": "x"}')
+    with pytest.raises(TypeError):
+        archives.collections(spark, str(tmp_path / "l.json"))
+
+
+def test_the_last_of_repeated_keys_counts(spark):
+    row = spark.createDataFrame([('---\nurn: a\ntipo: x\nurn: b\n urn : c\n---\nbody',)], "raw string").select(T.read_front_matter("raw").alias("head")).first()
+    assert row["head"] == {"tipo": "x", "urn": "c"}
 
 
 def test_markdown_tree(spark, tmp_path):
@@ -72,6 +182,8 @@ def test_names_fit_and_pages_give_text(spark):
     assert len(T.fitted("é" * 150).encode()) <= 200 and T.fitted("short") == "short"
     page = '<nav>x</nav><div class="bodyTesto"><h2>Titolo</h2><div>in</div><p>Testo <b>vigente</b>.</p></div><p>out</p>'
     assert T.html_block_text(page).splitlines() == ["Titoloin", "Testo vigente."]
+    nested = '<div class="x bodyTesto">a<div>b<br>c</div>&amp;lt; d</div>e<div class="bodyTesto"><ul><li>f</ul></div>'
+    assert T.html_block_text(nested) == "ab\nc&lt; d\nf"
     row = spark.createDataFrame([("atti/a/b.md", "atti/c.md")], "s string, t string").select(T.relative_link("s", "t")).first()
     assert row[0] == "../c.md"
 
@@ -93,6 +205,18 @@ def test_search_scores_as_sqlite_does(spark, query):
         assert found == expected
 
 
+def test_marks_are_stripped_as_sqlite_does(spark):
+    letters = [c for c in map(chr, (*range(0xC0, 0x180), *range(0x1E00, 0x1F00))) if c.isalpha() and len(c.lower()) == 1 and len(unicodedata.normalize("NFD", c)) > 1 and not unicodedata.decomposition(c).startswith("<")]
+    db = sqlite3.connect(":memory:")
+    db.execute("CREATE VIRTUAL TABLE f USING fts5(t, tokenize='unicode61 remove_diacritics 2')")
+    db.execute("CREATE VIRTUAL TABLE v USING fts5vocab(f, row)")
+    for c in letters:
+        db.execute("INSERT INTO f VALUES (?)", (f"x{c}y{ord(c)}",))
+    wanted = {r[0] for r in db.execute("SELECT term FROM v")}
+    found = spark.createDataFrame([(f"x{c}y{ord(c)}",) for c in letters], "t string").select(search.tokens(F.col("t")).alias("t")).collect()
+    assert {t for r in found for t in r["t"]} == wanted
+
+
 @pytest.mark.parametrize("query", ["", "a-b", "dell'atto", "x:y", "(a", "NOT", '"', "a OR"])
 def test_bad_queries(query):
     with pytest.raises(search.MatchError):
@@ -102,7 +226,7 @@ def test_bad_queries(query):
 def test_stream_keeps_the_best(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name in ("b.xml", "a.xml"):
-        (tmp_path / "in" / name).write_text(PENAL)
+        (tmp_path / "in" / name).write_text(MARKET)
         stream = ingest.member_stream(spark, str(tmp_path / "in"), "Codici")
         ingest.keep_best(spark, stream, str(tmp_path / "t"), str(tmp_path / "c")).start().awaitTermination()
     newest = spark.read.parquet(str(tmp_path / "t/v=1"))
