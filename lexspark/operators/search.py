@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.operators.temporal import in_force
+from lexspark.staging import staged
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 COLUMNS = ("titolo", "text")
@@ -62,13 +63,12 @@ def _wanted(term: Column, phrases: list[Phrase]) -> Column:
     return reduce(Column.__or__, [*([term.isin(whole)] if whole else []), *(F.startswith(term, F.lit(w)) for w in begun)])
 
 
-def postings(documents: DataFrame, key: str = "urn", columns: tuple[str, ...] = COLUMNS, wanted: list[Phrase] | None = None) -> DataFrame:
-    """key, col, term, positions, n_tokens (of all columns together). wanted: only terms of these phrases."""
+def postings(documents: DataFrame, key: str = "urn", columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """key, col, term, positions, n_tokens (of all columns together)."""
     sized = documents.select(key, *[tokens(F.col(c)).alias(c) for c in columns]).withColumn("n_tokens", sum((F.size(c) for c in columns), F.lit(0)).cast("int"))
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("list")) for c in columns])).alias("e")
     spread = sized.select(key, "n_tokens", each).select(key, "n_tokens", "e.col", F.posexplode("e.list").alias("pos", "term"))
-    kept = spread if wanted is None else spread.where(_wanted(F.col("term"), wanted))
-    return kept.groupBy(key, "col", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.first("n_tokens").alias("n_tokens"))
+    return spread.groupBy(key, "col", "term").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.first("n_tokens").alias("n_tokens"))
 
 
 _LEX = re.compile(r'\s*(?:(?P<open>\()|(?P<close>\))|(?:(?P<col>\w+)\s*:\s*)?(?:"(?P<phrase>(?:[^"]|"")*)"|(?P<word>[\w]+))(?P<star>\s*\*)?)')
@@ -147,6 +147,20 @@ def _hits(index: DataFrame, phrase: Phrase, key: str) -> DataFrame:
     return start.groupBy(key).agg(F.count(F.lit(1)).alias("tf"), F.first("n_tokens").alias("n_tokens"))
 
 
+def _occurrences(tokens_: Column, phrase: Phrase) -> Column:
+    """How often a phrase comes in a list of tokens."""
+    last = len(phrase.words) - 1
+    fits = lambda token, i: F.startswith(token, F.lit(phrase.words[i])) if phrase.prefix and i == last else token == phrase.words[i]
+    return F.size(F.filter(tokens_, lambda t, at: reduce(Column.__and__, (F.coalesce(fits(t if i == 0 else F.get(tokens_, at + i), i), F.lit(False)) for i in range(last + 1)))))
+
+
+def _scanned(documents: DataFrame, phrases: list[Phrase], key: str) -> DataFrame:
+    """key, n_tokens, tfs (of each phrase) of every document: one pass, staged, without postings."""
+    lists = documents.select(key, *[tokens(F.col(c)).alias(f"t_{c}") for c in COLUMNS])
+    tfs = [sum((_occurrences(F.col(f"t_{c}"), p) for c in ([p.column] if p.column else COLUMNS)), F.lit(0)) for p in phrases]
+    return staged(lists.select(key, sum((F.size(f"t_{c}") for c in COLUMNS), F.lit(0)).alias("n_tokens"), F.array(*tfs).alias("tfs")), "search")
+
+
 def totals(documents: DataFrame) -> DataFrame:
     """One row: n_docs, avg_tokens."""
     return documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(sum((F.size(tokens(F.col(c))) for c in COLUMNS), F.lit(0))).alias("avg_tokens"))
@@ -155,17 +169,18 @@ def totals(documents: DataFrame) -> DataFrame:
 def search(documents: DataFrame, query: str, limit: int | None = 20, day: str | None = None, key: str = "urn", index: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """The best documents with score, lower being better, ties by key; limit None: all. day: only those in force then.
 
-    index, counts: stored tables of postings() and totals(); else they are made from documents, in which case only the
-    postings of the query's words are.
+    index, counts: stored tables of postings() and totals(); else all documents are read once, for what the query asks.
     """
     tree = parse_match(query)
     phrases = list(dict.fromkeys(leaves(tree)))
-    counts = totals(documents) if counts is None else counts
-    index = postings(documents, key, wanted=phrases) if index is None else index.where(_wanted(F.col("term"), phrases))
-    hits = None
-    for i, phrase in enumerate(phrases):
-        one = _hits(index, phrase, key).withColumn("phrase", F.lit(i))
-        hits = one if hits is None else hits.unionByName(one)
+    if index is None:
+        seen = _scanned(documents, phrases, key)
+        counts = seen.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("n_tokens").alias("avg_tokens"))
+        hits = seen.select(key, "n_tokens", F.posexplode("tfs").alias("phrase", "tf")).where("tf > 0")
+    else:
+        counts = totals(documents) if counts is None else counts
+        index = index.where(_wanted(F.col("term"), phrases))
+        hits = reduce(DataFrame.unionByName, (_hits(index, p, key).withColumn("phrase", F.lit(i)) for i, p in enumerate(phrases)))
     df = hits.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
     idf = F.ln((F.col("n_docs") - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
     tf = F.col("tf").cast("double")

@@ -15,7 +15,7 @@ from lexspark.functions import text as T
 from lexspark.operators import canonical, gates, links, search, snapshot, temporal
 from lexspark.plans import build
 from lexspark.sources import akn
-from lexspark.sources.archives import xml_text
+from lexspark.sources.archives import article_counts, xml_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -112,7 +112,7 @@ def count_by_type_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("SELECT source AS code, max(n_chars) AS max_articles FROM documents GROUP BY 1")
 def max_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("code")).agg(F.max("n_chars").alias("max_articles"))
+    return article_counts(_table(spark, sf_dir, "documents"), "source", "n_chars")
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -152,6 +152,11 @@ def cache_check(spark: SparkSession, path: str, inventory: DataFrame) -> DataFra
     return both.select("name", F.coalesce(same, F.lit(False)).alias("valid"))
 
 
+def article_counts(candidates: DataFrame, code: str = "codice_redazionale", articles: str = "source_articles") -> DataFrame:
+    """code, max_articles: the most articles that any candidate of a code has."""
+    return candidates.groupBy(F.col(code).alias("code")).agg(F.max(articles).alias("max_articles"))
+
+
 def missing_sources(sources: DataFrame, article_counts: DataFrame) -> DataFrame:
     """Sources (code, min_articles, ...) of which fewer articles were seen than they need."""
     return sources.join(article_counts.select("code", "max_articles"), "code", "left").where("coalesce(max_articles, 0) < min_articles").drop("max_articles")

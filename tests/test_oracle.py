@@ -1,6 +1,8 @@
 """Every registered query of the catalogue against its SQL on the small tables."""
 
+import html
 import os
+import re
 
 import duckdb
 import pytest
@@ -17,6 +19,15 @@ def rows_of(rows, columns, order):
     return sorted(tuple("null" if r[i] is None else f"{r[i]:.6f}" if isinstance(r[i], float) else str(r[i]) for i in at) for r in rows)
 
 
+def test_page_text(spark):
+    """Against a plain search for the outermost elements; these pages nest no article in another."""
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{DIR}/pages.parquet").collect()}
+    for r in QUERIES["html_text"](spark, DIR).collect():
+        inner = "".join(re.findall(r"(?s)<article\b[^>]*>(.*?)(?:</article>|\Z)", pages[r["page_id"]]))
+        lines = html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<(?:p|br|li|h[123])\b[^>]*>", "\n", inner))).splitlines()
+        assert r["text"] == "\n".join(x.strip() for x in lines if x.strip())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     found = QUERIES[name](spark, DIR)

@@ -126,6 +126,15 @@ def test_other_formats_are_tried(tmp_path, archive):
         acquire.collect(nothing, cache, "Mare", "mare", "V", ["O"])
 
 
+def test_listed_articles(spark):
+    one = """<a onclick="return showArticle('/x?a=1&amp;b=2', 1)" class="numero_articolo">%s</a>"""
+    page = one % " 1 " + one.replace("a=1", "a=3") % "2" + one % "1" + one.replace("numero", "other") % "3"
+    row = spark.createDataFrame([(page,)], "p string").select(T.article_links("p").alias("l")).first()
+    assert [tuple(x) for x in row["l"]] == [("/x?a=1&b=2", "1"), ("/x?a=3&b=2", "2")]
+    files = spark.createDataFrame([(p,) for p in ("b/A.xml", "B/a.xml", "b.xml", "a/z.xml")], "source string")
+    assert [r[0] for r in files.orderBy(archives.order_of("source"), "source").collect()] == ["a/z.xml", "B/a.xml", "b/A.xml", "b.xml"]
+
+
 def test_a_listing_must_be_a_list(spark, tmp_path):
     (tmp_path / "l.json").write_text('{"error": "x"}')
     with pytest.raises(TypeError):
@@ -199,6 +208,8 @@ def test_search_scores_as_sqlite_does(spark, query):
     expected = db.execute("SELECT urn, round(bm25(f), 5) FROM f WHERE f MATCH ? ORDER BY rank, urn", (query,)).fetchall()
     docs = spark.createDataFrame(DOCS, "urn string, titolo string, text string")
     found = [(r["urn"], round(r["score"], 5)) for r in search.search(docs, query).collect()]
+    stored = search.search(docs, query, index=search.postings(docs), counts=search.totals(docs)).collect()
+    assert [(r["urn"], round(r["score"], 5)) for r in stored] == found
     if " OR " in query or " NOT " in query or "*" in query:  # unmatched branches may be scored differently
         assert {u for u, _ in found} == {u for u, _ in expected}
     else:
