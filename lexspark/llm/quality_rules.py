@@ -8,6 +8,7 @@ good, so one unsure rule does not reject a document that the others vouch for.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +57,7 @@ def features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         F.regexp_count("__text", F.lit(r"[#*$%&|<>]+")).cast("long").alias("n_marks"),
         F.regexp_count("__text", F.lit(r"[A-ZÀ-ÖØ-Þ]")).cast("long").alias("n_upper"),
         F.regexp_count("__text", F.lit(r"!")).cast("long").alias("n_exclaim"),
+        F.regexp_count("__text", F.lit(r"[0-9]")).cast("long").alias("n_digits"),
         F.expr(f"filter(split(__text, '\\n'), l -> l rlike '[^{SPACE_CLASS}]')".replace("\\x", "\\\\x")).alias("lines"),
         F.size(F.array_distinct("words")).alias("n_distinct"),
         F.size(F.array_intersect("words", F.array(*map(F.lit, FUNCTION_WORDS)))).alias("n_function"),
@@ -72,6 +74,7 @@ def features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         "n_marks",
         "n_upper",
         "n_exclaim",
+        "n_digits",
         "n_function",
         "n_distinct",
     )
@@ -93,16 +96,17 @@ class Rule:
         return F.when(F.expr(self.bad), F.lit(0)).when(F.expr(self.good), F.lit(1)).otherwise(F.lit(2))
 
 
+#: Each can vote either way on documents that the base leaves; what the base tests alone is no rule.
 RULES = (
-    Rule("length", "n_words < 10", "n_words >= 20"),
     Rule("symbols", "n_symbols > 0.15 * n_words", "n_symbols <= 0.05 * n_words"),
     Rule("marks", "n_marks > 0.1 * n_words", "n_marks <= 0.03 * n_words"),
     Rule("lines", "n_dup_lines > 0.3 * n_lines", "n_dup_lines <= 0.1 * n_lines"),
-    Rule("repeats", "n_repeat_words > 0.2 * n_words", "n_repeat_words <= 0.1 * n_words"),
+    Rule("repeats", "n_repeat_words > 0.12 * n_words", "n_repeat_words <= 0.03 * n_words"),
     Rule("capitals", "n_upper > 0.4 * word_chars", "n_upper <= 0.2 * word_chars"),
     Rule("shouting", "n_exclaim > 0.2 * n_words", "n_exclaim <= 0.05 * n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
     Rule("variety", "n_distinct <= 0.5 * n_words AND n_words <= 60", "n_distinct > 0.6 * n_words"),
+    Rule("digits", "n_digits > 0.3 * word_chars", "n_digits <= 0.1 * word_chars"),
     Rule("function_words", "n_words >= 40 AND n_function = 0", "n_function >= 2"),
 )
 
@@ -116,45 +120,55 @@ class Accuracies:
     on_good: tuple[float, ...]
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> Accuracies:
-    """Expectation-maximisation over counts of vote patterns (0 bad, 1 good, 2 abstains).
+#: What EM starts from: the share of bad documents, and how often a rule votes bad on bad and on good ones. Each
+#: kind of junk concerns few rules, so even on bad documents most votes are good.
+START = Accuracies(0.15, (0.2,) * len(RULES), (0.002,) * len(RULES))
+#: The start counts as so many votes for each vote seen (at least two), whatever the size of the input.
+START_WEIGHT = 0.05
 
-    Starts from rules that are mostly right. Estimates are smoothed by two votes of that start and bounded, so
-    that good and bad keep their meaning: a rule votes bad more often on bad documents than on good ones, and on
-    good ones at most one time in fifty. Each kind of junk concerns few rules, so even on bad documents most votes
-    are good at the start.
+
+def estimate(patterns: list[tuple[tuple[int, ...], int]], start: Accuracies = START, rounds: int = 200) -> Accuracies:
+    """Expectation-maximisation over counts of vote patterns (0 bad, 1 good, 2 abstains), to a fixed point or `rounds`.
+
+    Good and bad keep their meaning by the start alone, which is also the prior of every estimate: bad documents
+    as START has them cast START_WEIGHT times the votes of all documents. No estimate is cut off. Without patterns
+    the start is returned.
     """
-    rules = len(patterns[0][0]) if patterns else len(RULES)
-    share, on_bad, on_good = 0.15, [0.2] * rules, [0.002] * rules
-    for _ in range(rounds):
-        bad_n = all_n = 0.0
-        votes = [[0.0] * 4 for _ in range(rules)]  # weight of bad, bad votes of it; weight of good, bad votes of it
+    rules = len(patterns[0][0]) if patterns else len(start.on_bad)
+    now = Accuracies(start.bad_share, start.on_bad[:rules], start.on_good[:rules])
+    total = sum(n for _, n in patterns)
+    weight = max(2.0, START_WEIGHT * total)
+    for _ in range(rounds if patterns else 0):
+        bad_n = 0.0
+        cast = [[[0.0, 0.0], [0.0, 0.0]] for _ in range(rules)]  # by rule: [all votes, bad votes] of bad and of good documents
         for pattern, n in patterns:
-            b, g = share, 1 - share
+            b, g = now.bad_share, 1 - now.bad_share
             for r, v in enumerate(pattern):
                 if v != 2:
-                    b *= on_bad[r] if v == 0 else 1 - on_bad[r]
-                    g *= on_good[r] if v == 0 else 1 - on_good[r]
+                    b *= now.on_bad[r] if v == 0 else 1 - now.on_bad[r]
+                    g *= now.on_good[r] if v == 0 else 1 - now.on_good[r]
             p = b / (b + g)
             bad_n += n * p
-            all_n += n
             for r, v in enumerate(pattern):
                 if v != 2:
-                    votes[r][0] += n * p
-                    votes[r][2] += n * (1 - p)
-                    if v == 0:
-                        votes[r][1] += n * p
-                        votes[r][3] += n * (1 - p)
-        share = min(0.5, max(1e-4, (bad_n + 0.2) / (all_n + 2)))
-        on_bad = [min(0.99, max(0.1, (v[1] + 0.4) / (v[0] + 2))) for v in votes]
-        on_good = [min(0.02, max(1e-4, (v[3] + 0.004) / (v[2] + 2))) for v in votes]
-    return Accuracies(share, tuple(on_bad), tuple(on_good))
+                    for kind, share in zip(cast[r], (n * p, n * (1 - p))):
+                        kind[0] += share
+                        kind[1] += share * (v == 0)
+        of_bad, of_good = weight * start.bad_share, weight * (1 - start.bad_share)
+        new = Accuracies(
+            (bad_n + of_bad) / (total + weight),
+            tuple((c[0][1] + of_bad * s) / (c[0][0] + of_bad) for c, s in zip(cast, start.on_bad)),
+            tuple((c[1][1] + of_good * s) / (c[1][0] + of_good) for c, s in zip(cast, start.on_good)),
+        )
+        step = max(abs(x - y) for x, y in zip((new.bad_share, *new.on_bad, *new.on_good), (now.bad_share, *now.on_bad, *now.on_good)))
+        now = new
+        if step < 1e-9:
+            break
+    return now
 
 
 def p_good(found: Accuracies) -> Column:
     """Posterior probability of a good document, from the vote columns."""
-    import math
-
     odds = F.lit(math.log((1 - found.bad_share) / found.bad_share))
     for r, rule in enumerate(RULES):
         vote = F.col(f"v_{rule.name}")
