@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lexspark.functions import text as T
 from lexspark.operators import canonical, gates, links, search, snapshot, temporal
 from lexspark.plans import build
-from lexspark.sources import akn
+from lexspark.sources import akn, archives
 from lexspark.sources.archives import article_counts, xml_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -514,3 +514,73 @@ def report_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = _exceptions(spark, "('invalid_xml', '*', CAST(NULL AS INT), array('src1'), CAST(NULL AS STRING), 'known', '2999-01-01')")
     totals = docs.agg((F.count_if(F.col("lang") == "es") + 3).alias("skipped"), _n().alias("converted"), _n().alias("urns"), F.count_distinct("source").alias("codes"))
     return gates.report_failures(totals, errors, gates.active(listed, "2026-01-01"))
+
+
+@_register(
+    r"""SELECT page_id, substr(coalesce(nullif(trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '[ _/\\(),]', '-', 'g'), '[^\p{L}\p{N}.\-]', '', 'g'), '-{2,}', '-', 'g'), '-.'), ''), 'collezione'), 1, 100) AS repo_name,
+    coalesce(nullif(trim(regexp_replace(regexp_replace(replace(trim(url), '/', '-'), '\s+', ' ', 'g'), '[^\p{L}\p{N} ._\-]', '', 'g'), ' .-_'), ''), 'document') AS file_name,
+    replace(url, 'https://', 'https://***@') || ' Authorization: basic ***' AS log FROM pages"""
+)
+def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat(F.replace("url", F.lit("https://"), F.lit("https://me:word@")), F.lit(" Authorization: basic c2VjcmV0"))
+    return _table(spark, sf_dir, "pages").select("page_id", T.safe_repo_name("url").alias("repo_name"), T.safe_filename("url").alias("file_name"), T.redact(said).alias("log"))
+
+
+@_register("SELECT doc_id, '../' || lang || '/y.md' AS link, replace(lower(lang || 'STRASSE'), 'ß', 'ss') AS folded, lang || ' 2020' AS folder FROM documents WHERE lang IS NOT NULL")
+def relative_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").where("lang IS NOT NULL")
+    paths = docs.select("doc_id", "lang", F.lit("atti/here/x.md").alias("a"), F.concat(F.lit("atti/"), "lang", F.lit("/y.md")).alias("b"))
+    return paths.select("doc_id", T.relative_link("a", "b").alias("link"), T.casefold(F.concat("lang", F.lit("Straße"))).alias("folded"), T.collection_folder(F.concat("lang", F.lit("-2020"))).alias("folder"))
+
+
+@_register("SELECT conv_id, turn, 'art_' || role || CASE WHEN n > 1 THEN '_' || n ELSE '' END AS eid FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations)")
+def article_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source"), F.col("turn").alias("pos"), F.col("role").alias("number"), "text")
+    return archives.article_rows(turns).select(F.col("source").alias("conv_id"), F.col("pos").alias("turn"), "eid")
+
+
+@_register("WITH c AS (SELECT source AS code, max(n_chars) AS n FROM documents GROUP BY 1) SELECT 'src' || item_id AS code FROM benchmark LEFT JOIN c ON c.code = 'src' || item_id WHERE coalesce(n, 0) < 3000 + 100 * item_id")
+def missing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = _table(spark, sf_dir, "benchmark").select(F.concat(F.lit("src"), F.col("item_id").cast("string")).alias("code"), (3000 + 100 * F.col("item_id")).alias("min_articles"))
+    return archives.missing_sources(wanted, article_counts(_table(spark, sf_dir, "documents"), "source", "n_chars")).select("code")
+
+
+@_register("SELECT 'targets' AS what, true AS refuse UNION ALL SELECT 'texts', false UNION ALL SELECT 'nothing', false")
+def only_links_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), "url", "html")
+    made = lambda target, text: pages.select("path", F.concat(F.lit("see [a]("), target, F.lit(") "), text).alias("markdown"))
+    before = made(F.concat(F.lit("x"), "url"), F.lit("text"))
+    cases = {"targets": made(F.concat(F.lit("y"), "url"), F.lit("text")), "texts": made(F.concat(F.lit("y"), "url"), F.lit("other")), "nothing": before}
+    rows = [gates.only_links_changed(before, after).select(F.lit(what).alias("what"), "refuse") for what, after in cases.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@_register(
+    r"""SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{Co}]+'), 'that')
+    AND (doc_id % 3 = 0 OR (doc_id % 3 = 1 AND doc_id % 5 > 0))"""
+)
+def search_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a word and are in force on the day: without dates, or begun that day at the latest and not ended by it."""
+    begun = F.when(F.col("doc_id") % 3 == 1, "2020-01-01").when(F.col("doc_id") % 3 == 2, "2020-01-02")
+    ended = F.when((F.col("doc_id") % 3 == 1) & (F.col("doc_id") % 5 == 0), "2020-01-01")
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("urn"), F.lit("x").alias("titolo"), "text", begun.alias("valid_from"), ended.alias("valid_to"))
+    return search.search(docs, "text:that", limit=None, day="2020-01-01").select(F.col("urn").alias("doc_id"))
+
+
+@_register("SELECT conv_id::VARCHAR AS document_urn, role AS anchor, max(turn)::BIGINT AS version FROM conversations WHERE conv_id = (SELECT min(conv_id) FROM conversations) AND role = 'user' GROUP BY 1, 2")
+def article_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    least = str(turns.agg(F.min("conv_id").alias("least")).first()["least"])
+    table = turns.select(F.col("conv_id").cast("string").alias("document_urn"), F.col("role").alias("anchor"), F.col("turn").cast("long").alias("version"), F.lit(None).cast("string").alias("valid_from"), F.lit(None).cast("string").alias("valid_to"))
+    return temporal.article_as_of(table, least, "user", "2020-01-01").select("document_urn", "anchor", "version")
+
+
+@_register("SELECT 'urn:nir:borgo:' || item_id AS urn, 'T & <' || item_id AS titolo, 'art-1,art-1-2' AS anchors, (length(coalesce(text, '')) + length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')))::BIGINT AS chars FROM benchmark")
+def side_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side sources as members that the parser takes: two articles of one number, the second with an item's whole text, whose lines are paragraphs."""
+    items = _table(spark, sf_dir, "benchmark").withColumn("code", F.concat(F.lit("b"), F.col("item_id").cast("string")))
+    sources = items.select("code", F.concat(F.lit("urn:nir:borgo:"), F.col("item_id").cast("string")).alias("urn"), F.lit("t").alias("type"), F.lit("1").alias("number"), F.lit("2020-01-01").alias("date"), F.concat(F.lit("T & <"), F.col("item_id").cast("string")).alias("title"))
+    texts = items.select(F.col("code").alias("source"), F.explode(F.array(F.struct(F.lit(0).alias("pos"), F.lit("first").alias("text")), F.struct(F.lit(1).alias("pos"), F.coalesce("text", F.lit("")).alias("text")))).alias("a")).select("source", "a.pos", F.lit("1").alias("number"), "a.text")
+    parsed = akn.parse_members(archives.side_members(sources, archives.article_rows(texts), "Fonti"))
+    last = F.element_at(F.split("template", "## Art. 1"), -1)
+    return parsed.where("error IS NULL").select("urn", "titolo", F.array_join(F.col("intervals")["anchor"], ",").alias("anchors"), F.length(F.btrim(last, F.lit("\n"))).cast("long").alias("chars"))

@@ -43,11 +43,15 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> bool:
+    """Deletes a folder with all that is in it, and says whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remove_staged(spark: SparkSession) -> int:
     """Deletes all folders that this process has staged, and says how many; no DataFrame that reads them may be in use."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        gone += path.getFileSystem(conf).delete(path, True)
+        gone += remove(spark, _made.pop())
     return gone

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from lexspark.operators.canonical import rank
 from lexspark.sources import akn
+from lexspark.staging import remove
 
 
 def member_stream(spark: SparkSession, folder: str, collection: str, source_format: str = "V") -> DataFrame:
@@ -19,7 +20,8 @@ def member_stream(spark: SparkSession, folder: str, collection: str, source_form
 def keep_best(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
     """Each batch is folded into the table's next version: table/v=<batch>, the newest being the result.
 
-    A batch that is run again overwrites its own version and reads the one before, so results do not change.
+    A batch that is run again overwrites its own version and reads the one before, so results do not change; older
+    versions are deleted, as no batch reads them again.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
@@ -28,5 +30,7 @@ def keep_best(spark: SparkSession, stream: DataFrame, table: str, checkpoint: st
         ranked = rows.withColumn("rank", rank())
         best = ranked.groupBy("urn").agg(F.min_by(F.struct(*rows.columns), "rank").alias("best")).select("best.*")
         best.write.mode("overwrite").parquet(f"{table}/v={number}")
+        if number > 1:
+            remove(spark, f"{table}/v={number - 2}")
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True)

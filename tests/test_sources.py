@@ -236,10 +236,11 @@ def test_bad_queries(query):
 
 def test_stream_keeps_the_best(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    for name in ("b.xml", "a.xml"):
+    for name in ("b.xml", "c.xml", "a.xml"):
         (tmp_path / "in" / name).write_text(MARKET)
         stream = ingest.member_stream(spark, str(tmp_path / "in"), "Codici")
         ingest.keep_best(spark, stream, str(tmp_path / "t"), str(tmp_path / "c")).start().awaitTermination()
-    newest = spark.read.parquet(str(tmp_path / "t/v=1"))
+    newest = spark.read.parquet(str(tmp_path / "t/v=2"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == ["v=1", "v=2"]
     assert newest.count() == 1 and newest.first()["source"].endswith("a.xml")
     assert akn.errors(akn.parse_members(spark.createDataFrame([], "collection string, source_format string, source string, raw binary"))).count() == 0
