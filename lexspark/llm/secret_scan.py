@@ -1,8 +1,10 @@
 """Secret scans by a trigram inverted index, with DataFrame functions only.
 
 From each rule's pattern a Boolean query over trigrams is derived (any of several sets that must all be there).
-Postings (trigram, document) of the trigrams in queries are intersected to candidates, and only candidates are
-tried with the rule's pattern. Rules without mandatory trigrams scan all texts.
+The index holds the postings of the trigrams in queries. It is partitioned by document, as a document's postings are
+needed beside its text: they are a column, and the sets of a query are sought in it, so neither texts nor ids are
+shuffled, however many candidates there are. Only candidates are tried with the rule's pattern. Rules without
+mandatory trigrams scan all texts. postings() and candidates() give the same index as rows, for storing it.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     if not runs:
         return None
     best = max(runs, key=lambda r: (min(map(len, r)), -len(r)))
-    return sorted({frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in best}, key=sorted)
+    sets = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in best}
+    return sorted((x for x in sets if not any(y < x for y in sets)), key=sorted)  # a set that holds another asks for more than is needed
 
 
 def _runs(parsed) -> list[set[str]]:
@@ -114,31 +117,36 @@ def _whole(parsed) -> tuple[set[str] | None, list[set[str]]]:
     return (runs[0], []) if len(runs) == 1 else (None, runs)
 
 
-def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
-    """The inverted index for these trigrams: (trigram, doc_id, text_hash), once a document; case is folded."""
-    folded = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__folded"))
-    found = F.filter(F.array(*(F.when(F.contains("__folded", F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams))), lambda x: x.isNotNull())
-    return folded.select("doc_id", "text_hash", F.explode(found).alias("trigram"))
+def _array(values) -> str:
+    return f"array({', '.join(values)})"
 
 
-def candidates(index: DataFrame, queries: list[tuple[int, frozenset[str]]], trigrams: list[str]) -> DataFrame:
-    """doc_id, text_hash and `rules`, a bit for each rule that has a set of trigrams whole in the document.
+def own_postings(text: str, trigrams: list[str]) -> Column:
+    """A document's postings: the numbers of those trigrams that its text (a column) holds in lower case.
 
-    Postings are intersected as bits: each gives the bit of its trigram, and a document meets a set when the or
-    of its postings has all bits of it. Postings of a document come from one task, so they are joined before the shuffle.
+    What lambdas use again and again is bound to a variable of an outer one, so it is computed once a row.
     """
+    grams = _array("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in trigrams)
+    return F.expr(f"transform(array(lower({text})), f -> filter(sequence(0, {len(trigrams) - 1}), i -> contains(f, {grams}[i])))[0]")
+
+
+def met_rules(postings: str, queries: list[tuple[int, frozenset[str]]], trigrams: list[str]) -> Column:
+    """Numbers of the rules that have a set of trigrams whole in a column of postings."""
     of = {t: i for i, t in enumerate(trigrams)}
-    words = -(-len(trigrams) // 62)
-    bits = [F.bit_or(F.when(F.expr(f"trigram div 62 = {w}"), F.expr(f"shiftleft(1L, trigram % 62)")).otherwise(F.lit(0).cast("long"))).alias(f"__w{w}") for w in range(words)]
-    rules = F.lit(0).cast("long")
-    for rule, grams in queries:
-        met = F.lit(True)
-        for w in range(words):
-            mask = sum(1 << of[g] % 62 for g in grams if of[g] // 62 == w)
-            if mask:
-                met = met & (F.col(f"__w{w}").bitwiseAND(F.lit(mask)) == F.lit(mask))
-        rules = rules.bitwiseOR(F.when(met, F.lit(1 << rule)).otherwise(F.lit(0)).cast("long"))
-    return index.groupBy("doc_id", "text_hash").agg(*bits).select("doc_id", "text_hash", rules.alias("rules")).where("rules != 0")
+    sets = _array(f"named_struct('rule', {rule}, 'grams', {_array(str(of[g]) for g in sorted(grams))})" for rule, grams in queries)
+    return F.expr(f"transform(array({postings}), own -> array_distinct(transform(filter({sets}, q -> size(array_except(q.grams, own)) = 0), q -> q.rule)))[0]")
+
+
+def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
+    """The index as rows: (trigram, doc_id, text_hash), once a document; case is folded, trigrams are numbers of the list."""
+    whole = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    return whole.select("doc_id", "text_hash", F.explode(own_postings("__text", trigrams)).alias("trigram"))
+
+
+def candidates(index: DataFrame, queries: list[tuple[int, frozenset[str]]], trigrams: list[str]) -> DataFrame:
+    """doc_id, text_hash and `rules`, the numbers of the rules that the postings of the document meet; others are left out."""
+    lists = index.groupBy("doc_id", "text_hash").agg(F.collect_set("trigram").alias("__own"))
+    return lists.select("doc_id", "text_hash", met_rules("__own", queries, trigrams).alias("rules")).where("size(rules) > 0")
 
 
 def _spans(rule: Rule, order: int, text: Column) -> Column:
@@ -163,23 +171,21 @@ def _spans(rule: Rule, order: int, text: Column) -> Column:
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", into: str = "found") -> DataFrame:
     """docs with `into`: an array of (start, end, ord, kind) of all rules' matches, by start, then by the rules' order.
 
-    Code points, end exclusive; matches of one rule do not overlap. Null text has none. Documents are matched to
-    their candidates by doc_id and a hash of the text, so null and repeated doc_ids are allowed and rows stay.
-    A column of that name is replaced.
+    Code points, end exclusive; matches of one rule do not overlap. Null text has none; null and repeated doc_ids are
+    allowed, and rows stay as they are, without a shuffle. A column of that name is replaced.
     """
     queries = [(i, q) for i, r in enumerate(rules) for q in trigram_query(r.pattern) or []]
     indexed = {i for i, _ in queries}
     trigrams = sorted({g for _, q in queries for g in q})
-    marked = docs.drop(into).withColumn("__hash", F.xxhash64(text)).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    marked = docs.drop(into).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     if trigrams:
-        wanted = candidates(postings(docs, trigrams, text), queries, trigrams).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of"), F.col("rules").alias("__rules"))
-        marked = marked.join(wanted, marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__hash"] == F.col("__of")), "left")
+        marked = marked.withColumn("__own", own_postings("__text", trigrams)).withColumn("__rules", met_rules("__own", queries, trigrams))
     none = "cast(array() AS array<struct<start:int,`end`:int,ord:int,kind:string>>)"
     each = []
     for i, rule in enumerate(rules):
         spans = _spans(rule, i, F.col("__text"))
-        each.append(F.when(F.coalesce(F.col("__rules"), F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(F.expr(none)) if i in indexed else spans)
-    return marked.withColumn(into, F.sort_array(F.concat(*each))).drop("__hash", "__text", "__id", "__of", "__rules")
+        each.append(F.when(F.array_contains("__rules", i), spans).otherwise(F.expr(none)) if i in indexed else spans)
+    return marked.withColumn(into, F.sort_array(F.concat(*each))).drop("__text", "__own", "__rules")
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
