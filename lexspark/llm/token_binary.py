@@ -19,7 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import PieceTable, chunk_pieces
@@ -188,48 +189,21 @@ def _piece_ids(table: PieceTable, buf: np.ndarray, offs: np.ndarray) -> tuple[np
     return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[before])
 
 
-def _buckets(docs: DataFrame, n: int) -> DataFrame:
-    """docs with `bucket`: ranges of doc_id in order, from its quantiles; null ids come last, dealt out by text."""
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] if n > 1 else None
-    cuts = sorted(set(cuts or []))
-    # A balanced tree of comparisons: log n steps a row.
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("doc_id") <= F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    last = len(cuts) + 1
-    return docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(last) + F.pmod(F.hash("text"), F.lit(n))).otherwise(tree(0, len(cuts))).cast("int"))
-
-
 def write_ids(docs: DataFrame, tokenizer_path: str, folder: str | None = None, shard_ids: int = 1 << 21) -> DataFrame:
     """Encodes docs (doc_id, text), writes shards under folder, and returns their list: bucket, shard, path, n_docs, n_ids.
 
-    Shards follow each other by bucket and shard number in ascending doc_id order (null ids last; equal ids by
-    content). A null text is empty: its only id is the end id. Repeated rows stay. Files of a task that is run
+    Buckets are ranges of doc_id; texts are dealt out to them and encoded there, in order. Shards follow each other by
+    bucket and shard number in ascending doc_id order (null ids last; equal ids by a hash of the text, then the text). A null text is empty: its only id is the end id. Repeated rows stay. Files of a task that is run
     again get other names; only those of the list count. The folder may be any URI that Arrow's file systems open.
     """
-    spark = docs.sparkSession
-    folder = folder or new_folder(spark, "token-shards")
-    n = input_partitions(docs)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_chunks(batches):
-            ids, sizes = library_ids(buf, offs, tokenizer_path)
-            raw = ids.astype("<u4" if len(ids) and ids.max() > 0xFFFF else "<u2")
-            wide, data, at = raw.itemsize == 4, raw.tobytes(), (np.concatenate([[0], np.cumsum(sizes)]) * raw.itemsize).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(1), rows.column(0), pa.array([wide] * len(sizes), pa.bool_()), pa.array([data[a:b] for a, b in zip(at, at[1:])], pa.binary())],
-                names=["bucket", "doc_id", "wide", "ids"],
-            )
+    folder = folder or new_folder(docs.sparkSession, "token-shards")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
         fs, root = pafs.FileSystem.from_uri(folder)
         held: list[tuple[int | None, np.ndarray]] = []
-        bucket, shard, before, size = None, 0, 0, 0
+        bucket, shard, before, size = TaskContext.get().partitionId(), 0, 0, 0  # ranges in order
 
         def flush() -> pa.RecordBatch:
             nonlocal held, size, shard, before
@@ -243,40 +217,37 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str | None = None, s
             before, shard, held, size = before + len(ids), shard + 1, [], 0
             return row
 
-        for batch in batches:
-            for b, d, wide, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if held and (b != bucket or size >= shard_ids):
+        for rows, buf, offs in text_chunks(batches):
+            ids, sizes = library_ids(buf, offs, tokenizer_path)
+            cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            for d, a, b in zip(rows.column(0).to_pylist(), cuts, cuts[1:]):
+                if size >= shard_ids:
                     yield flush()
-                if b != bucket:
-                    bucket, shard, before = b, 0, 0
-                own = np.frombuffer(raw, "<u4" if wide else "<u2")
-                held.append((d, own))
-                size += len(own) + 1
+                held.append((d, ids[a:b]))
+                size += b - a + 1
         if held:
             yield flush()
 
-    rows = _buckets(docs.select(F.col("doc_id").cast("long"), "text"), n)
-    dealt = rows.select("doc_id", "bucket", "text").mapInArrow(encode, "bucket int, doc_id long, wide boolean, ids binary").repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int"))
-    listed = dealt.sortWithinPartitions("bucket", "doc_id", "ids").mapInArrow(write, "bucket int, shard int, path string, n_docs long, n_ids long")
+    # Ties of one doc_id (null among them) are told apart by their texts, so no id fills a range.
+    keys = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(input_partitions(docs), *keys)
+    listed = dealt.sortWithinPartitions(*keys, "text").mapInArrow(write, "bucket int, shard int, path string, n_docs long, n_ids long")
     return staged(listed, "token-shard-list")
 
 
 def read_ids(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of all documents in the listed shards, from their files.
 
-    start counts the ids of all documents before: of the buckets before (one sum for each bucket, of which
-    there are as many as partitions), plus what the shard's head says of its own bucket.
+    start counts the ids of all documents before: of the buckets before (running sums over one row a bucket, of
+    which there are as many as partitions), plus what the shard's head says of its own bucket.
     """
-    spark = shards.sparkSession
-    sums = sorted((r["bucket"], r["n"]) for r in shards.groupBy("bucket").agg(F.sum("n_ids").alias("n")).collect())
-    base, at = {}, 0
-    for bucket, n in sums:
-        base[bucket] = at
-        at += n
+    sums = shards.groupBy("bucket").agg(F.sum("n_ids").alias("n"))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for base_ids, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 fs, name = pafs.FileSystem.from_uri(path)
                 with fs.open_input_stream(name) as source:
                     doc_ids, sizes, ids, before = read_shard(source.read())
@@ -285,11 +256,11 @@ def read_ids(shards: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array(doc_ids, pa.int64()),
-                        "start": pa.array(ends - sizes + before + base[bucket]),
+                        "start": pa.array(ends - sizes + before + base_ids),
                         "n_tokens": pa.array(sizes.astype(np.int64)),
                         "ids_crc32": pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
                     }
                 )
 
-    listed = shards.select("bucket", "path").repartition(input_partitions(shards), "path")
+    listed = shards.join(base, "bucket").select("base", "path").repartition(input_partitions(shards), "path")
     return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
