@@ -1,16 +1,15 @@
-"""What the operators share: staging in the shared folder, Arrow text chunks, vectorised words."""
+"""What the operators share: sizes, Arrow text chunks, vectorised words; staging is that of the library."""
 
 from __future__ import annotations
 
 import math
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from lexspark.staging import new_folder, shared_dir, staged  # noqa: F401
 
 #: Words are runs of code points outside this class; the same class in Java, RE2 and Python.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -20,37 +19,6 @@ U64 = np.uint64
 _MASK = (1 << 64) - 1
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where it is unset, a local master gets a temporary folder, as driver and executors are one process; a cluster
-    is an error, as a folder of one machine would lose what others wrote.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="lexspark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """df as a written table in the shared folder: cuts the lineage and survives lost executors."""
-    path = new_folder(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 #: Input of one hash partition, at least; a task holds a few times as much.
 PARTITION_BYTES = 32 << 20
 #: Input behind each block that a unit of documents sends to a hash partition, at least.
