@@ -84,10 +84,11 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """docs as the mix takes them: each row as often as its taken words make whole copies, rounded.
 
     Rows of which less than half a copy is taken go. Columns stay as they are; rows without words are kept once,
-    as they cost no budget. Copies of one row lie together.
+    as they cost no budget. Copies of one row lie together. Rows are found in the mix by doc_id, source and key.
     """
-    own = random_key("doc_id", "source", "text", seed=seed).alias("__mix_key")
-    plan = mix(docs, seed=seed).groupBy("row_key").agg(F.max("size").alias("__mix_size"), F.max("taken").alias("__mix_taken"))
-    rows = docs.select("*", own).join(plan.withColumnRenamed("row_key", "__mix_key"), "__mix_key")
+    keys = {"__mix_key": random_key("doc_id", "source", "text", seed=seed), "__mix_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), "__mix_source": F.coalesce(F.col("source").cast("string"), F.lit("~"))}
+    plan = mix(docs, seed=seed).select(F.col("row_key").alias("__mix_key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("~")).alias("__mix_id"), F.coalesce("source", F.lit("~")).alias("__mix_source"), "size", "taken")
+    once = plan.groupBy(*keys).agg(F.max("size").alias("__mix_size"), F.max("taken").alias("__mix_taken"))  # rows that repeat
+    rows = docs.withColumns(keys).join(once, [*keys])
     copies = F.when(F.col("__mix_size") == 0, F.lit(1)).otherwise(F.round(F.col("__mix_taken") / F.col("__mix_size"))).cast("int")
     return rows.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
