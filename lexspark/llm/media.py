@@ -1,7 +1,8 @@
 """Media in binary columns: PNG images, read and written chunk by chunk, and cosine-transform hashes of them.
 
-write_png and read_png handle 8-bit grey images: zlib chunks with checksum tests, and scan-line filters undone
-with numpy (None, Sub and Up by running sums; Average and Paeth column by column).
+write_png and read_png handle 8-bit grey images: zlib chunks with checksum tests, and all five scan-line filters.
+A filtered sample needs its left, upper and upper left neighbours, so many images are undone at once along their
+diagonals: step d takes the sample at d - y of every line y, of all images, whose neighbours earlier steps gave.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,22 +28,75 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(body, zlib.crc32(kind)))
 
 
-def write_png(samples: np.ndarray, level: int = 6) -> bytes:
-    """samples: uint8, height x width. Each line takes None, Sub or Up, whichever leaves the smallest residuals."""
+def guesses(left: np.ndarray, up: np.ndarray, corner: np.ndarray) -> Iterator[np.ndarray]:
+    """What filters 0 to 4 (None, Sub, Up, Average, Paeth) expect, from neighbours in int16."""
+    yield np.zeros_like(left)
+    yield left
+    yield up
+    yield (left + up) >> 1
+    # Distances of left + up - corner from each neighbour; ties go to the left one, then to the upper one.
+    of_left, of_up = np.abs(up - corner), np.abs(left - corner)
+    of_corner = np.abs(left + up - 2 * corner)
+    yield np.where((of_left <= of_up) & (of_left <= of_corner), left, np.where(of_up <= of_corner, up, corner))
+
+
+#: By residual: its distance from 0.
+_SIZES = np.abs(np.arange(256, dtype=np.uint8).view(np.int8).astype(np.int16)).astype(np.uint8)
+
+
+def filtered(samples: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Each line's filter and residuals; of the five filters the one with the smallest residuals is taken.
+
+    samples: lines of images of one width, one image after the other; first: where images begin.
+    """
     height, width = samples.shape
-    left, up = np.zeros_like(samples), np.zeros_like(samples)
-    left[:, 1:], up[1:] = samples[:, :-1], samples[:-1]
-    residuals = np.stack([samples, samples - left, samples - up])
-    cost = np.abs(residuals.view(np.int8).astype(np.int16)).sum(2)
-    best = cost.argmin(0)
-    lines = np.empty((height, width + 1), np.uint8)
-    lines[:, 0] = best
-    lines[:, 1:] = residuals[best, np.arange(height)]
-    packed = zlib.compress(lines.tobytes(), level)
+    framed = np.zeros((height + 1, width + 1), np.int16)
+    framed[1:, 1:] = samples
+    above = framed[:-1].copy()
+    above[first] = 0
+    own = framed[1:, 1:]
+    lines, least = np.zeros((height, width + 1), np.uint8), np.full(height, np.iinfo(np.int64).max)
+    for kind, guess in enumerate(guesses(framed[1:, :-1], above[:, 1:], above[:, :-1])):
+        residuals = (own - guess).astype(np.uint8)
+        cost = _SIZES[residuals].sum(1, dtype=np.int64)
+        better = cost < least
+        lines[better, 0], lines[better, 1:], least[better] = kind, residuals[better], cost[better]
+    return lines
+
+
+def _file(width: int, height: int, packed: bytes) -> bytes:
     data = [_chunk(b"IDAT", packed[i : i + IDAT_BYTES]) for i in range(0, len(packed), IDAT_BYTES)]
     return b"".join([SIGNATURE, _chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)), *data, _chunk(b"IEND", b"")])
 
 
+def _alike(keys: list) -> Iterator[list[int]]:
+    """Places of equal keys."""
+    places: dict = {}
+    for i, key in enumerate(keys):
+        places.setdefault(key, []).append(i)
+    yield from places.values()
+
+
+def write_pngs(images: list[np.ndarray], level: int = 6) -> list[bytes]:
+    """images: uint8, height x width. An image's lines have filters chosen one by one, or all none (better for text), whatever packs better."""
+    out = [b""] * len(images)
+    for mine in _alike([x.shape[1] for x in images]):
+        heights = np.array([len(images[i]) for i in mine])
+        ends = np.cumsum(heights)
+        samples = np.concatenate([images[i] for i in mine])
+        plain = np.zeros((len(samples), samples.shape[1] + 1), np.uint8)
+        plain[:, 1:] = samples
+        chosen = filtered(samples, (ends - heights)[heights > 0])
+        for i, a, b in zip(mine, (ends - heights).tolist(), ends.tolist()):
+            packed = min((zlib.compress(lines[a:b].tobytes(), level) for lines in (plain, chosen)), key=len)
+            out[i] = _file(samples.shape[1], b - a, packed)
+    return out
+
+
+def write_png(samples: np.ndarray, level: int = 6) -> bytes:
+    return write_pngs([samples], level)[0]
+
+
 def chunks(png: bytes) -> Iterator[tuple[bytes, bytes]]:
     """Chunks up to IEND; a wrong signature, length or checksum is an error."""
     if png[:8] != SIGNATURE:
@@ -61,44 +116,39 @@ def chunks(png: bytes) -> Iterator[tuple[bytes, bytes]]:
         at += 12 + size
 
 
-def unfilter(filters: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """Samples of one byte each from filtered lines; runs of lines of one filter are undone together."""
-    height, width = lines.shape
-    out = np.empty((height, width), np.uint8)
-    above = np.zeros(width, np.uint8)
-    cuts = [0, *(np.flatnonzero(np.diff(filters)) + 1).tolist(), height]
-    for lo, hi in zip(cuts, cuts[1:]):
-        if lo == hi:
-            continue
-        kind, run = int(filters[lo]), lines[lo:hi]
-        if kind == 0:
-            out[lo:hi] = run
-        elif kind == 1:
-            out[lo:hi] = np.cumsum(run, 1, dtype=np.uint8)
-        elif kind == 2:
-            out[lo:hi] = np.cumsum(np.vstack([above, run]), 0, dtype=np.uint8)[1:]
-        elif kind in (3, 4):
-            for y in range(lo, hi):
-                before = out[y - 1] if y else np.zeros(width, np.uint8)
-                a = c = 0
-                for x in range(width):
-                    b = int(before[x])
-                    if kind == 3:
-                        guess = (a + b) // 2
-                    else:
-                        p = a + b - c
-                        pa_, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-                        guess = a if pa_ <= pb and pa_ <= pc else b if pb <= pc else c
-                    a, c = (int(lines[y, x]) + guess) & 255, b
-                    out[y, x] = a
-        else:
-            raise ValueError(f"unknown filter {kind}")
-        above = out[hi - 1]
-    return out
-
-
-def read_png(png: bytes) -> np.ndarray:
-    """Samples of an 8-bit grey PNG without interlacing, height x width."""
+def unfilter(images: list[np.ndarray]) -> list[np.ndarray]:
+    """Samples of images of one width, from their lines (filter, then one byte a sample)."""
+    heights = np.array([len(x) for x in images])
+    lines = np.concatenate(images)
+    width = lines.shape[1] - 1
+    if len(lines) and lines[:, 0].max() > 4:
+        raise ValueError("unknown filter")
+    # Lines by their number within the image: those at work in a step lie together.
+    image = np.repeat(np.arange(len(images)), heights)
+    first = np.cumsum(heights) - heights
+    number = np.arange(len(lines)) - first[image]
+    order = np.argsort(number, kind="stable")
+    place = np.empty(len(lines), np.int64)
+    place[order] = np.arange(len(lines))
+    number, kinds = number[order], lines[order, 0]
+    above = np.where(number > 0, place[np.maximum(order - 1, 0)], len(lines))  # the last place stays 0
+    source, begin = lines[:, 1:].reshape(-1), order * width - number
+    out = np.empty(source.shape, np.uint8)
+    now, before = np.zeros(len(lines) + 1, np.int16), np.zeros(len(lines) + 1, np.int16)
+    for d in range(int(heights.max(initial=0)) + width - 1 if width else 0):
+        lo, hi = np.searchsorted(number, (d - width + 1, d + 1))
+        work, at = slice(lo, hi), begin[lo:hi] + d
+        left, up, corner = now[work], now[above[work]], before[above[work]]
+        sample = (source[at] + np.choose(kinds[work], list(guesses(left, up, corner)))) & 255
+        out[at] = sample
+        before[work] = left
+        now[work] = sample
+    samples = out.reshape(len(lines), width)
+    return [samples[a : a + n] for a, n in zip(first.tolist(), heights.tolist())]
+
+
+def filtered_lines(png: bytes) -> np.ndarray:
+    """Lines of an 8-bit grey PNG without interlacing as they are stored: a filter and its residuals."""
     head, data = None, []
     for kind, body in chunks(png):
         if kind == b"IHDR":
@@ -113,8 +163,23 @@ def read_png(png: bytes) -> np.ndarray:
     lines = np.frombuffer(zlib.decompress(b"".join(data)), np.uint8)
     if len(lines) != height * (width + 1):
         raise ValueError("PNG has too few or too many samples")
-    lines = lines.reshape(height, width + 1)
-    return unfilter(lines[:, 0], lines[:, 1:])
+    return lines.reshape(height, width + 1)
+
+
+def read_pngs(pngs: list[bytes]) -> list[np.ndarray]:
+    """Samples of each image, height x width."""
+    lines = [filtered_lines(png) for png in pngs]
+    out = [x[:, 1:] for x in lines]
+    coded = [i for i, x in enumerate(lines) if x[:, 0].any()]
+    for alike in _alike([lines[i].shape[1] for i in coded]):
+        mine = [coded[k] for k in alike]
+        for i, samples in zip(mine, unfilter([lines[i] for i in mine])):
+            out[i] = samples
+    return out
+
+
+def read_png(png: bytes) -> np.ndarray:
+    return read_pngs([png])[0]
 
 
 _SIDE, _LOW = 32, 8
@@ -123,20 +188,28 @@ _k = np.arange(_LOW)[:, None]
 COSINES = np.cos(np.pi * _k * (2 * np.arange(_SIDE)[None, :] + 1) / (2 * _SIDE))
 
 
-def cosine_hash(samples: np.ndarray) -> bytes:
-    """8 bytes: for each of the 8 x 8 lowest frequencies, whether it is above their median (without the mean's).
+def cosine_hashes(images: list[np.ndarray]) -> list[bytes]:
+    """Of each image 8 bytes: for each of the 8 x 8 lowest frequencies, whether it is above their median (without the mean's).
 
-    The image is first averaged down, or repeated up, to 32 x 32.
+    An image is first averaged down, or repeated up, to 32 x 32. Images of one shape are worked on together.
     """
-    height, width = samples.shape
-    sums = np.zeros((height + 1, width + 1), np.int64)
-    sums[1:, 1:] = samples.astype(np.int64).cumsum(0).cumsum(1)
-    ys, xs = np.arange(_SIDE) * height // _SIDE, np.arange(_SIDE) * width // _SIDE
-    ye, xe = np.maximum(ys + 1, (np.arange(_SIDE) + 1) * height // _SIDE), np.maximum(xs + 1, (np.arange(_SIDE) + 1) * width // _SIDE)
-    total = sums[ye][:, xe] - sums[ys][:, xe] - sums[ye][:, xs] + sums[ys][:, xs]
-    small = total / ((ye - ys)[:, None] * (xe - xs)[None, :])
-    low = np.round(COSINES @ small @ COSINES.T, 6).reshape(-1)
-    return np.packbits(low > np.median(low[1:])).tobytes()
+    out = [b""] * len(images)
+    for mine in _alike([x.shape for x in images]):
+        height, width = images[mine[0]].shape
+        sums = np.zeros((len(mine), height + 1, width + 1), np.int64)
+        sums[:, 1:, 1:] = np.stack([images[i] for i in mine]).cumsum(1, dtype=np.int64).cumsum(2)
+        ys, xs = np.arange(_SIDE) * height // _SIDE, np.arange(_SIDE) * width // _SIDE
+        ye, xe = np.maximum(ys + 1, (np.arange(_SIDE) + 1) * height // _SIDE), np.maximum(xs + 1, (np.arange(_SIDE) + 1) * width // _SIDE)
+        rows = sums[:, ye] - sums[:, ys]
+        small = (rows[:, :, xe] - rows[:, :, xs]) / ((ye - ys)[:, None] * (xe - xs)[None, :])
+        low = np.round(COSINES @ small @ COSINES.T, 6).reshape(len(mine), -1)
+        for i, bits in zip(mine, low > np.median(low[:, 1:], axis=1, keepdims=True)):
+            out[i] = np.packbits(bits).tobytes()
+    return out
+
+
+def cosine_hash(samples: np.ndarray) -> bytes:
+    return cosine_hashes([samples])[0]
 
 
 def text_payload(raw: bytes) -> bytes:
@@ -160,15 +233,26 @@ def encode_media(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(batch.num_columns - 1)
-            for lo in range(0, len(raw), 64):
-                rows = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in raw.slice(lo, 64)]
-                media = [write_png(np.frombuffer(text_payload(x), np.uint8).reshape(-1, WIDTH)) for x in rows]
-                part = batch.slice(lo, 64)
+            for lo, hi in _slices(raw):
+                rows = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in raw.slice(lo, hi - lo)]
+                media = write_pngs([np.frombuffer(text_payload(x), np.uint8).reshape(-1, WIDTH) for x in rows])
+                part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(list(map(len, rows)), pa.int64()), pa.array(media, pa.binary())], names=[*batch.schema.names[:-1], "n_bytes", "media"])
 
     return kept.mapInArrow(run, schema)
 
 
+def _slices(values: pa.Array, most_rows: int = 512, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about most_bytes at most; a longer row is one of its own."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(values), 0)))
+    lo = 0
+    while lo < len(values):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most_bytes, side="right"))
+        hi = min(max(hi, lo + 1), lo + most_rows)
+        yield lo, min(hi, len(values))
+        lo = min(hi, len(values))
+
+
 FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
@@ -182,17 +266,21 @@ def media_features(media: DataFrame, column: str = "media") -> DataFrame:
     schema = _with(kept.drop(column), FEATURES)
     types = [pa.string() if " string" in f else pa.int64() for f in FEATURES.split(", ")]
 
-    def features(png: bytes | None) -> tuple:
+    def features(png: bytes | None, samples: np.ndarray | None, mark: bytes | None) -> tuple:
         if png is None:
             return (None,) * len(names)
-        samples = read_png(png)
         payload = samples.tobytes()
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), cosine_hash(samples).hex()
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), mark.hex()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(names), types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *names])
+            for lo, hi in _slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(lo, hi - lo)
+                pngs = part.column(part.num_columns - 1).to_pylist()
+                images = read_pngs([x for x in pngs if x is not None])
+                more = iter(zip(images, cosine_hashes(images)))
+                rows = [features(x, *((None, None) if x is None else next(more))) for x in pngs]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=[*batch.schema.names[:-1], *names])
 
     return kept.mapInArrow(run, schema)
