@@ -62,6 +62,9 @@ def test_estimation_finds_accuracies():
     patterns = [((0, 0, 1), 80), ((1, 1, 1), 900), ((0, 1, 1), 5), ((1, 0, 1), 15), ((2, 2, 2), 3)]
     found = quality_rules.estimate(patterns)
     assert 0.05 < found.bad_share < 0.15 and min(found.on_bad[:2]) > 0.6 and max(found.on_good) <= 0.02
+    many = quality_rules.estimate([(p, 1000 * n) for p, n in patterns])  # the prior grows with the input
+    assert np.allclose([many.bad_share, *many.on_bad, *many.on_good], [found.bad_share, *found.on_bad, *found.on_good], atol=1e-6)
+    assert quality_rules.estimate([]) == quality_rules.START
 
 
 def shards(df, spark):
@@ -231,7 +234,10 @@ def test_png_filters_and_damage():
             p = a + b - c
             paeth = min(((abs(p - v), i, v) for i, v in enumerate((a, b, c))))[2]
             lines[y, x] = (int(image[y, x]) - [0, a, b, (a + b) // 2, paeth][filters[y]]) & 255
-    assert (media.unfilter(filters, lines) == image).all()
+    coded = np.column_stack([filters, lines])
+    assert (media.unfilter([coded, coded[:1], coded[:0], coded])[3] == image).all()
+    with pytest.raises(ValueError):
+        media.unfilter([np.column_stack([filters + 1, lines])])
     png = media.write_png(image)
     assert (media.read_png(png) == image).all() and media.cosine_hash(image) == media.cosine_hash(media.read_png(png))
     for at in (0, 20, len(png) - 3):
@@ -274,21 +280,11 @@ def test_language_model(docs, odd, empty):
     tokens = {d: [*words_of(ascii_lower(t)), None] for d, t, *_ in docs[1]}
     fold = {d: zlib.crc32(str(d).encode()) % 7 for d in tokens}
     c = Counter(w for d, t in tokens.items() if fold[d] != 2 for w in t)
-    pairs = Counter(p for d, t in tokens.items() if fold[d] != 2 for p in zip(["<s>", *t], t))
     n, v = sum(c.values()), len(c)
-    starts = c[None]
     for d, t in tokens.items():
         r = rows[d]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (fold[d] == 2, len(t), sum(w in c for w in t), n)
         assert abs(r["base_score"] - sum(np.log10((c[w] + 1) / (n + v + 1)) for w in t)) < 1e-6
-    # Probabilities of what may follow a context add up to one, whatever the weights.
-    lam = language_model.fit_weights([(0, -1, 1010, 5), (3, 1040, 1020, 9), (3, -1, 1015, 4)])
-    assert np.allclose(lam.sum(1), 1) and lam[0][0] == 0
-    known = [(w, k) for w, k in c.most_common(3) if w]
-    for u, k in [*known, ("<s>", starts)]:
-        b = int(language_model.bucket(np.array([k]))[0])
-        total = sum(lam[b][0] * pairs[u, w] / k + lam[b][1] * c[w] / n + lam[b][2] / (v + 1) for w in c) + lam[b][2] / (v + 1)
-        assert abs(total - 1) < 1e-9
     held = [r for r in rows.values() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
     strange = language_model.score(odd).collect()
@@ -296,42 +292,10 @@ def test_language_model(docs, odd, empty):
     assert language_model.score(empty).count() == 0
 
 
-def test_language_model_follows_brute_force_weights(docs):
-    """The score itself, with weights found from the same cells computed plainly."""
-    df, rows = docs
-    tokens = {d: [*words_of(ascii_lower(t)), None] for d, t, *_ in rows}
-    fold = {d: zlib.crc32(str(d).encode()) % 7 for d in tokens}
-
-    def count(keep):
-        one = Counter(w for d, t in tokens.items() if keep(fold[d]) for w in t)
-        two = Counter(p for d, t in tokens.items() if keep(fold[d]) for p in zip(["<s>", *t], t))
-        return one, two, one | {"<s>": one[None]}
-
-    c, pairs, contexts = count(lambda f: f != 2)
-    k, k_pairs, k_contexts = count(lambda f: f not in (2, 3))
-    n, v, n_kept = sum(c.values()), len(c), sum(k.values())
-    cells = Counter()
-    for d, t in tokens.items():
-        if fold[d] == 3:
-            for u, w in zip(["<s>", *t], t):
-                context = k_contexts.get(u, 0)
-                share = np.array([k_pairs[u, w] / max(context, 1), k.get(w, 0) / n_kept])
-                high, low = language_model._steps(share, 1 / (v + 1)).tolist()
-                cells[int(language_model.bucket(np.array([context]))[0]), high, low] += 1
-    lam = language_model.fit_weights(sorted((*key, m) for key, m in cells.items()))
-    found = {r["doc_id"]: r["score"] for r in language_model.score(df).collect()}
-    for d, t in list(tokens.items())[:60]:
-        total = 0.0
-        for u, w in zip(["<s>", *t], t):
-            context = contexts.get(u, 0)
-            x = lam[int(language_model.bucket(np.array([context]))[0])]
-            total += np.log10(x[0] * pairs[u, w] / max(context, 1) + x[1] * c.get(w, 0) / n + x[2] / (v + 1))
-        assert abs(found[d] - total) < 1e-6
-
-
 def test_chat(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "assistant", "early"), (3, 0, "system", "s"), (3, 1, "user", None), (3, 2, "assistant", ""), (4, 0, "a: b\\=###", "x</turn>\n"), (5, None, None, None), (5, 1, "user", "u"), (None, 0, "user", "n"), (6, 0, "user", "same"), (6, 0, "user", "same")]
+    rows.append((7, 0, "user", "### </turn> \\ é " * 20_000))
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' AS seq", "'x' AS loss")
     segments = chat.format_chat(df)
     for out in (chat.read_chat(segments), chat.read_chat(segments.repartition(3), in_order=False)):
@@ -342,7 +306,7 @@ def test_chat(spark):
             text = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in turns)
             r = found[c]
             assert (r["n_turns"], r["loss_chars"], r["loss_sha256"], r["turns_sha256"]) == (len(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
-        assert {c: found[c]["order_ok"] for c in found} == {1: True, 2: False, 3: True, 4: False, 5: False, None: False, 6: False}
+        assert {c: found[c]["order_ok"] for c in found} == {1: True, 2: False, 3: True, 4: False, 5: False, None: False, 6: False, 7: False}
     assert chat.read_chat(chat.format_chat(df.where("false"))).count() == 0
 
 
