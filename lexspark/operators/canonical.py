@@ -12,8 +12,8 @@ CANONICAL_ORDER = {"V": 0, "M": 1, "O": 2}
 DOWNLOAD_ORDER = ("V", "O", "M")
 
 
-#: What rank() and links need of a candidate, and what a body isn't.
-RANKED = ("codice_redazionale", "titolo", "tipo", "numero", "data", "versione_data", "entrata_in_vigore", "abrogazione_data", "template", "links", "folded_collection", "folded_source", "source", "collection", "source_format")
+#: What rank() and links need of a candidate; its body is not.
+RANKED = ("codice_redazionale", "links", "folded_collection", "folded_source", "source", "collection", "source_format", "digest")
 
 
 def rank(priorities: tuple[str, ...] = ("codici",)) -> Column:
@@ -23,9 +23,8 @@ def rank(priorities: tuple[str, ...] = ("codici",)) -> Column:
     """
     place = F.coalesce(*[F.when(F.contains("folded_collection", F.lit(p.strip().casefold())), F.lit(i)) for i, p in enumerate(priorities) if p.strip()], F.lit(len(priorities)))
     formats = F.create_map(*[F.lit(x) for kv in CANONICAL_ORDER.items() for x in kv])
-    digest = F.xxhash64("codice_redazionale", "titolo", "tipo", "numero", "data", "versione_data", "entrata_in_vigore", "abrogazione_data", "template", "links")
-    names = [F.col(c) for c in ("folded_collection", "folded_source", "source", "collection")]
-    return F.struct(F.coalesce(F.try_element_at(formats, F.col("source_format")), F.lit(9)).alias("format"), place.alias("place"), *names, digest.alias("digest"))
+    names = [F.col(c) for c in ("folded_collection", "folded_source", "source", "collection", "digest")]
+    return F.struct(F.coalesce(F.try_element_at(formats, F.col("source_format")), F.lit(9)).alias("format"), place.alias("place"), *names)
 
 
 def best_of(candidates: DataFrame, priorities: tuple[str, ...] = ("codici",)) -> DataFrame:
